@@ -107,23 +107,29 @@ def shared_dir(spark: SparkSession) -> str:
 
         at = spark.conf.get("spark.corvane.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corvane-")
         spark.conf.set("spark.corvane.checkpoint.dir", at)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows go to the shared folder and the lineage ends there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read again."""
+    """``df`` as a Parquet table in the shared folder, read again.
+
+    This ends the lineage like a reliable checkpoint, but computes the rows once
+    and keeps columns apart. The table stays until ``discard`` or until the folder
+    is emptied, since plans that are still to run may read it.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._corvane_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table that ``written`` made and no plan needs any more."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._corvane_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def held_out(id_col: str) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import col, cut, fresh, map_rows, small_slices, texts
+from corvane.llm.common import col, fresh, map_rows, small_slices, texts, written
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -190,7 +190,7 @@ def dropped_lines(lines: DataFrame, min_docs: int = MIN_DOCS, keep: str = "none"
     if keep not in ("none", "first"):
         raise ValueError(f"keep: {keep!r}")
     dealt = lines.repartitionByRange("high", "low", "doc").sortWithinPartitions("high", "low", "doc", "text_hash", "position")
-    found = cut(map_rows(dealt, _stream(min_docs), _FOUND))
+    found = written(map_rows(dealt, _stream(min_docs), _FOUND), "lines")
     # Two rows for each partition at most, whatever the corpus holds.
     totals = (
         found.where("position is null")

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import decontaminate, line_dedup, quality
+from corvane.llm import (
+    decontaminate,
+    html_extract,
+    langid,
+    line_dedup,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    token_count,
+    toxicity,
+)
 from corvane.llm.common import table
 
 
@@ -22,12 +33,47 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.report(table(spark, sf_dir, "documents"))
+
+
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.report(table(spark, sf_dir, "pages"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate,
         op2_line_dedup,
         op3_quality_rules,
+        op4_best_fit_packing,
+        op5_language_id,
+        op6_simhash_near_dedup,
+        op7_secret_scan,
+        op8_html_extraction,
+        op9_toxicity,
+        op10_token_counts,
     )
 }
 
