@@ -17,6 +17,7 @@ as the tokenizer has it.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,13 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import col, map_rows, small_slices, written
+from corvane.llm.common import col, map_rows, small_slices, texts, written
 
 SEQUENCE = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 #: Space-separated chunks whose ids a worker remembers.
-CACHE = 200_000
+CACHE = 400_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -41,17 +42,21 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class Encoder(dict):
-    """Ids of a text as little-endian 32-bit bytes.
+class Encoder:
+    """Ids of texts as little-endian 32-bit bytes.
 
-    This tokenizer drops white space and never joins what it separates, so the ids
-    of a text are those of its chunks, one after another. Repeated chunks are
-    looked up. Texts with separators that only Python takes for white space are
-    encoded whole. ``specials``: whether the special tokens' strings in a text
-    become their ids, or are text like any other.
+    This tokenizer lower-cases, drops white space and never joins what it
+    separates, so the ids of a text are those of its chunks, one after another.
+    Chunks end at ASCII white space and before punctuation that ends a word; their
+    ids are remembered, and those not yet known are encoded together.
+    ``specials``: whether the special tokens' strings in a text become their ids,
+    or are text like any other. Texts that may hold one are encoded whole.
     """
 
-    _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
+    #: Punctuation between an ASCII letter or digit and white space: a run of its own in this tokenizer, too.
+    _END = re.compile(rb"(?<=[a-z0-9])[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+(?=[ \t\n\r\x0b\x0c]|\Z)")
+    #: Chunks that are encoded at a time, and bytes of one that is remembered.
+    GROUP, LONG = 2000, 64
 
     def __init__(self, path: str, specials: bool = True, size: int = CACHE) -> None:
         import os
@@ -59,27 +64,40 @@ class Encoder(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer, self.size = Tokenizer.from_file(path), size
         self.tokenizer.encode_special_tokens = not specials
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.whole(chunk)
-        if len(chunk) <= 64:
-            if len(self) >= self.size:
-                self.clear()
-            self[chunk] = ids
-        return ids
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if any(x in text for x in self._ODD):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, text.split()))
+        self.known: dict[bytes, bytes] = {}
+
+    def whole(self, text: bytes) -> bytes:
+        return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        for at in range(0, len(chunks), self.GROUP):
+            group = chunks[at : at + self.GROUP]
+            got = self.tokenizer.encode([x.decode() for x in group], is_pretokenized=True, add_special_tokens=False)
+            raw = np.array(got.ids, dtype="<u4").tobytes()
+            ends = 4 * np.cumsum(np.bincount(np.array(got.word_ids, dtype=np.int64), minlength=len(group)))
+            start = 0
+            for x, end in zip(group, ends.tolist()):
+                self.known[x] = raw[start:end]
+                start = end
+
+    def encode(self, batch: list[bytes | None]) -> list[bytes]:
+        split: list[list[bytes] | None] = []
+        for raw in batch:
+            low = raw.lower() if raw else b""  # ASCII letters alone; the tokenizer sees to the others
+            split.append(None if b"<|" in low else self._END.sub(rb" \g<0>", low).split())
+        needed = set().union(*(x for x in split if x))
+        missing = needed - self.known.keys()
+        if len(self.known) + len(missing) > self.size:
+            self.known.clear()
+            missing = needed
+        self._learn(sorted(missing))
+        out = [self.whole(raw) if x is None else b"".join(map(self.known.__getitem__, x)) for raw, x in zip(batch, split)]
+        for x in missing:
+            if len(x) > self.LONG:
+                del self.known[x]
+        return out
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
@@ -118,8 +136,8 @@ def pieces(
         for whole in batches:
             for batch in small_slices(whole, 1):
                 of, piece, start, size, crc, rank, ids = [], [], [], [], [], [], []
-                for row, text in enumerate(batch.column(1).to_pylist()):
-                    raw = encode(text) + end
+                for row, raw in enumerate(encode(texts(batch, 1))):
+                    raw += end
                     for k, at in enumerate(range(0, len(raw), 4 * length)):
                         own = raw[at : at + 4 * length]
                         n = len(own) // 4

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import col, map_rows, shared_dir, small_slices
+from corvane.llm.common import col, map_rows, shared_dir, small_slices, texts
 from corvane.llm.packing import encoder, vocabulary_path
 
 #: The end-of-document id of the vocabulary, and the type of the ids in a file.
@@ -152,8 +152,8 @@ def write_flat(
         for whole in batches:
             id_type = whole.column(0).type
             for batch in small_slices(whole, 1):
-                for text in batch.column(1).to_pylist():
-                    held += np.frombuffer(encode(text), dtype="<u4").astype(DTYPE).tobytes() + end
+                for raw in encode(texts(batch, 1)):
+                    held += np.frombuffer(raw, dtype="<u4").astype(DTYPE).tobytes() + end
                     while len(held) >= block_bytes:
                         yield out(bytes(held[:block_bytes]))
                         del held[:block_bytes]
