@@ -1,10 +1,13 @@
 """SimHash near-dedup with a bit-sliced comparison.
 
 Each text becomes a 64-bit fingerprint of its word shingles. Equal fingerprints
-are collapsed first, so that groups of copies weigh one row each. Any two
-fingerprints within the radius agree in at least ``blocks - radius`` of
+are collapsed first, so that groups of copies weigh one row each. For a small
+radius any two fingerprints within it agree in at least ``blocks - radius`` of
 ``blocks`` bit blocks, so each is dealt out under every choice of that many
-blocks, and those that share a choice are compared: the bucket's bits are stored
+blocks. A wide radius, as texts with a fifth of their shingles changed need,
+leaves no such blocks; there fingerprints are dealt out by bands of a one-pass
+minimum sketch of the same shingle hashes. Either way those that share a key are
+compared: the bucket's bits are stored
 as vertical planes, one word for 64 fingerprints, the distances of a whole bucket
 to one fingerprint are summed plane by plane in carry-save counters, and a block
 of 64 is abandoned once all of its counters exceed the radius. Within a bucket
@@ -37,20 +40,29 @@ RADIUS = 4
 #: Bit blocks of a fingerprint; 6 of them, 2 agreeing, make 15 keys of about 21 bits.
 BLOCKS = 6
 SEED = 42
+#: Bands and rows of the sketch that deals out where the radius is wide: texts with a Jaccard similarity of 0.8 share a band
+#: but for one pair in thousands.
+BANDS, ROWS = 20, 5
+#: Shingles of five words; texts with a similarity of 0.8 differ in 14 bits at most, as measured.
+WIDE_SHINGLE, WIDE_RADIUS = 5, 14
 
 
-def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
-    """64-bit SimHash of the word shingles, repeats included."""
+def shingle_hashes(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
+    """XXH64 of the word shingles, repeats included; of all words where they are fewer."""
     ws = text.lower().split() if text else []
     if not ws:
-        return 0
+        return np.zeros(0, dtype="<u8")
     digest = xxhash.xxh64_intdigest
     line = b" ".join(ws)
     if len(ws) <= shingle:
-        return digest(line, SEED)
-    ends = list(accumulate((len(w) + 1 for w in ws)))
+        return np.array([digest(line, SEED)], dtype="<u8")
+    ends = list(accumulate(len(w) + 1 for w in ws))
     starts = [0, *ends[: len(ws) - shingle]]
-    hashes = np.array([digest(line[a : b - 1], SEED) for a, b in zip(starts, ends[shingle - 1 :])], dtype="<u8")
+    return np.array([digest(line[a : b - 1], SEED) for a, b in zip(starts, ends[shingle - 1 :])], dtype="<u8")
+
+
+def fold(hashes: np.ndarray) -> int:
+    """The fingerprint: each bit is 1 if it is set in over half of the hashes."""
     n = len(hashes)
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, n, 65536):  # a long text's bits are counted in parts
@@ -58,17 +70,53 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE) -> tuple[DataFrame, str]:
-    """``docs`` with their fingerprint as a signed long, and that column's name."""
-    (name,) = fresh(docs, "fingerprint")
+def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
+    """64-bit SimHash of a text."""
+    return fold(shingle_hashes(text, shingle))
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """One key for each band of the minimum sketch.
+
+    The hashes are mixed and dealt into BANDS * ROWS bins by one multiplication,
+    each bin keeps its least, an empty one takes over from the next with a mark
+    of the distance, and ROWS bins make a band's key.
+    """
+    bins = BANDS * ROWS
+    if not len(hashes):
+        return np.zeros(BANDS, dtype=np.int64)
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    least = np.full(bins, np.iinfo(np.uint64).max, dtype=np.uint64)
+    np.minimum.at(least, ((mixed >> np.uint64(40)) % np.uint64(bins)).astype(np.int64), mixed)
+    full = np.flatnonzero(least != np.iinfo(np.uint64).max)
+    after = full[np.searchsorted(full, np.arange(bins)) % len(full)]
+    gap = (after - np.arange(bins)) % bins
+    filled = least[after] + gap.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    key = np.zeros(BANDS, dtype=np.uint64)
+    for row in filled.reshape(BANDS, ROWS).T:
+        key = (key ^ (key >> np.uint64(29)) ^ row) * np.uint64(0xBF58476D1CE4E5B9)
+    return key.view(np.int64)
+
+
+def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, sketched: bool = False) -> tuple[DataFrame, list[str]]:
+    """``docs`` with their fingerprint as a signed long and, if asked for, their bands' keys; and those columns' names."""
+    names = fresh(docs, "fingerprint", "sketch")[: 1 + sketched]
 
     def make():
         def run(batch: list[bytes | None]) -> list[pa.Array]:
-            return [pa.array(np.array([fingerprint(x, shingle) for x in batch], dtype=np.uint64).view(np.int64))]
+            prints, keys = [], []
+            for text in batch:
+                hashes = shingle_hashes(text, shingle)
+                prints.append(fold(hashes))
+                if sketched:
+                    keys.append(sketch(hashes))
+            out = [pa.array(np.array(prints, dtype=np.uint64).view(np.int64))]
+            return out + ([pa.array(keys, pa.list_(pa.int64()))] if sketched else [])
 
         return run
 
-    return append_columns(docs, text_col, [T.StructField(name, T.LongType())], make), name
+    kinds = (T.LongType(), T.ArrayType(T.LongType()))
+    return append_columns(docs, text_col, [T.StructField(n, k) for n, k in zip(names, kinds)], make), names
 
 
 def masks(blocks: int, radius: int) -> list[int]:
@@ -167,13 +215,23 @@ def trees(values: np.ndarray, radius: int, shared: int = 0) -> Iterator[tuple[in
 _EDGES = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.LongType(), False)])
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints, column ``f``, that connect whatever is within ``radius``."""
-    chosen = masks(blocks, radius)
-    signed = [m - (1 << 64) if m >> 63 else m for m in chosen]
-    dealt = distinct.select(
-        F.explode(F.array(*(F.struct(F.lit(i).cast("byte").alias("m"), F.col("f").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(signed)))).alias("x"), "f"
-    ).select("x.m", "x.k", "f")
+def deal_blocks(distinct: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """(m, k, f): every fingerprint under the bits of each choice of blocks."""
+    signed = [x - (1 << 64) if x >> 63 else x for x in masks(blocks, radius)]
+    keys = F.array(*(F.struct(F.lit(i).alias("m"), F.col("f").bitwiseAND(F.lit(x)).alias("k")) for i, x in enumerate(signed)))
+    return distinct.select(F.explode(keys).alias("x"), "f").select("x.m", "x.k", "f")
+
+
+def deal_bands(rows: DataFrame, f: str, keys: str) -> DataFrame:
+    """(m, k, f): every fingerprint under the key of each band of its texts' sketches."""
+    return rows.select(F.posexplode(col(keys)).alias("m", "k"), col(f).alias("f")).distinct()
+
+
+def links(dealt: DataFrame, radius: int, common: list[int] | None = None) -> DataFrame:
+    """Edges (a, b) between fingerprints that connect whatever shares a key (m, k) and is within ``radius``.
+
+    ``common`` masks, for each ``m``, the bits that all of a bucket share.
+    """
     ordered = dealt.repartition("m", "k").sortWithinPartitions("m", "k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
@@ -182,7 +240,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> Da
 
         def settle(values: np.ndarray, m: int) -> tuple[list, list]:
             a, b = [], []
-            for i, got in trees(values, radius, chosen[m]):
+            for i, got in trees(values, radius, common[m] if common else 0):
                 a.append(np.full(len(got), values[i]))
                 b.append(values[got])
             return a, b
@@ -256,41 +314,49 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def group(rows: DataFrame, id_col: str, f: str, tag: str, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def group(rows: DataFrame, id_col: str, f: str, tag: str, keys: str | None = None, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """(f, component, keeper) for every distinct fingerprint of ``rows``.
 
     ``component`` is the least id that can be reached, ``keeper`` the ``tag`` of
-    the first row of the component by id (nulls last), then by tag.
+    the first row of the component by id (nulls last), then by tag. With ``keys``,
+    the rows' bands, these deal the fingerprints out, else their bit blocks do.
     """
     least = F.min(F.struct(col(id_col).isNull().alias("unknown"), col(id_col).alias("id"), col(tag).alias("tag")))
     ids = written(rows.groupBy(col(f).alias("f")).agg(least.alias("least")), "fingerprints")
-    roots = components(links(ids.select("f"), radius, blocks))
+    if keys is None:
+        found = links(deal_blocks(ids.select("f"), radius, blocks), radius, masks(blocks, radius))
+    else:
+        found = links(deal_bands(rows, f, keys), radius)
+    roots = components(found)
     rooted = ids.join(roots, F.col("f") == F.col("node"), "left").select("f", F.coalesce("root", "f").alias("root"), "least")
     best = rooted.groupBy("root").agg(F.min("least").alias("best")).select(F.col("root").alias("r"), "best")
     return rooted.join(best, F.col("root") == F.col("r")).select("f", F.col("best.id").alias("component"), F.col("best.tag").alias("keeper"))
 
 
-def marked(docs: DataFrame, text_col: str, shingle: int, keep_text: bool) -> tuple[DataFrame, str, str]:
-    """``docs`` with fingerprint and a row tag, as a table in the shared folder, so that texts are hashed once."""
-    out, f = fingerprints(docs, text_col, shingle)
+def marked(docs: DataFrame, text_col: str, shingle: int, keep_text: bool, sketched: bool = False) -> tuple[DataFrame, str, str, str | None]:
+    """``docs`` with fingerprint, bands and a row tag, as a table in the shared folder, so that texts are hashed once."""
+    out, names = fingerprints(docs, text_col, shingle, sketched)
     (tag,) = fresh(out, "row_tag")
     out = out.withColumn(tag, F.monotonically_increasing_id())
-    return written(out if keep_text else out.drop(col(text_col)), "simhash"), f, tag
+    return written(out if keep_text else out.drop(col(text_col)), "simhash"), names[0], tag, names[1] if sketched else None
 
 
 def dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = WIDE_SHINGLE, radius: int = WIDE_RADIUS, blocks: int | None = None
 ) -> DataFrame:
-    """One row of each component of near-copies, the first by id (nulls last), with the same columns."""
-    rows, f, tag = marked(docs, text_col, shingle, keep_text=True)
+    """One row of each component of near-copies, the first by id (nulls last), with the same columns.
+
+    With ``blocks`` the search is exact for a small ``radius``; without, bands deal out.
+    """
+    rows, f, tag, keys = marked(docs, text_col, shingle, keep_text=True, sketched=blocks is None)
     (k,) = fresh(rows, "keeper")
-    keepers = group(rows, id_col, f, tag, radius, blocks).select(F.col("keeper").alias(k)).distinct()
+    keepers = group(rows, id_col, f, tag, keys, radius, blocks or BLOCKS).select(F.col("keeper").alias(k)).distinct()
     return rows.join(keepers, col(tag) == col(k), "left_semi").select(*(col(x) for x in docs.columns))
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hexadecimal digits), component_id."""
-    rows, f, tag = marked(docs.select("doc_id", "text"), "text", SHINGLE, keep_text=False)
+    rows, f, tag, _ = marked(docs.select("doc_id", "text"), "text", SHINGLE, keep_text=False)
     groups = group(rows, "doc_id", f, tag).select(F.col("f").alias("g"), "component")
     digits = F.lower(F.lpad(F.hex(col(f)), 16, "0"))
     return rows.join(groups, col(f) == F.col("g")).select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
