@@ -7,6 +7,7 @@ current batch is held.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Texts processed at a time inside a task, in bytes; longer single texts stand alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def fresh(taken: DataFrame | list[str], *names: str) -> list[str]:
@@ -59,6 +60,15 @@ def small_slices(batch: pa.RecordBatch, i: int) -> Iterator[pa.RecordBatch]:
     yield batch.slice(start)
 
 
+def release() -> None:
+    """Hands a finished task's memory back, as a worker that waits for its next task keeps its pages otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
 def map_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[list[pa.Array]]], schema: T.StructType) -> DataFrame:
     """``mapInArrow`` that goes by position: ``run`` gives lists of arrays, and columns may have any names."""
     names = [f"c{i}" for i in range(len(schema))]
@@ -66,6 +76,7 @@ def map_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[l
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for arrays in run(batches):
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+        release()
 
     plain = T.StructType([T.StructField(n, f.dataType, True) for n, f in zip(names, schema)])
     return df.toDF(*(f"c{i}" for i in range(len(df.columns)))).mapInArrow(named, plain).toDF(*schema.fieldNames())

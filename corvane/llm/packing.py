@@ -33,7 +33,7 @@ SEQUENCE = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 #: Space-separated chunks whose ids a worker remembers.
-CACHE = 400_000
+CACHE = 300_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -56,7 +56,7 @@ class Encoder:
     #: Punctuation between an ASCII letter or digit and white space: a run of its own in this tokenizer, too.
     _END = re.compile(rb"(?<=[a-z0-9])[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+(?=[ \t\n\r\x0b\x0c]|\Z)")
     #: Chunks that are encoded at a time, and bytes of one that is remembered.
-    GROUP, LONG = 2000, 64
+    GROUP, LONG = 100, 64
 
     def __init__(self, path: str, specials: bool = True, size: int = CACHE) -> None:
         import os
@@ -74,9 +74,12 @@ class Encoder:
     def _learn(self, chunks: list[bytes]) -> None:
         for at in range(0, len(chunks), self.GROUP):
             group = chunks[at : at + self.GROUP]
-            got = self.tokenizer.encode([x.decode() for x in group], is_pretokenized=True, add_special_tokens=False)
+            parts = [x.decode() for x in group]
+            got = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
             raw = np.array(got.ids, dtype="<u4").tobytes()
-            ends = 4 * np.cumsum(np.bincount(np.array(got.word_ids, dtype=np.int64), minlength=len(group)))
+            starts = np.cumsum([0, *(len(x) + 1 for x in parts[:-1])])
+            of = np.searchsorted(starts, np.array([x for x, _ in got.offsets], dtype=np.int64), side="right") - 1
+            ends = 4 * np.cumsum(np.bincount(of, minlength=len(group)))
             start = 0
             for x, end in zip(group, ends.tolist()):
                 self.known[x] = raw[start:end]
