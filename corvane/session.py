@@ -7,11 +7,17 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Bytes of rows that Spark hands to a Python worker at a time, at most.
+BATCH_BYTES = 8 << 20
 ROOT = Path(__file__).resolve().parent.parent
 
 
 def importable(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package where it lies in the same place on every machine."""
+    """Lets Python workers import this package where it lies in the same place on every machine, and keeps their batches small."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
     context = spark.sparkContext
     paths = [x for x in (context.environment.get("PYTHONPATH") or "").split(os.pathsep) if x]
     if str(ROOT) not in paths:
