@@ -1 +1,3 @@
-"""Part of the engine."""
+"""Registered queries. Importing this package registers them all."""
+
+from corvane.plans import analytics_queries, relational_queries, text_queries  # noqa: F401
