@@ -66,7 +66,9 @@ class Encoder:
 
         self.tokenizer, self.size = Tokenizer.from_file(path), size
         self.tokenizer.encode_special_tokens = not specials
+        #: Remembered chunks, and those remembered before ``known`` was last full: what is still in use moves over.
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     def whole(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -92,10 +94,10 @@ class Encoder:
             split.append(None if b"<|" in low else self._END.sub(rb" \g<0>", low).split())
         needed = set().union(*(x for x in split if x))
         missing = needed - self.known.keys()
-        if len(self.known) + len(missing) > self.size:
-            self.known.clear()
-            missing = needed
-        self._learn(sorted(missing))
+        if len(self.known) + len(missing) > self.size // 2:
+            self.known, self.before, missing = {}, self.known, needed
+        self.known.update((x, self.before[x]) for x in missing & self.before.keys())
+        self._learn(sorted(missing - self.known.keys()))
         out = [self.whole(raw) if x is None else b"".join(map(self.known.__getitem__, x)) for raw, x in zip(batch, split)]
         for x in missing:
             if len(x) > self.LONG:
