@@ -82,8 +82,8 @@ def one_pass(texts: DataFrame, backend: Backend, size: int) -> DataFrame:
             records = frame.to_dict("records")
             for at in range(0, len(records), size):
                 found, calls = answers(backend, records[at : at + size])
-                out = pd.DataFrame({"record_id": list(found), "answer": list(found.values())}, columns=["record_id", "answer"])
-                yield out.assign(record_id=out["record_id"].astype("int64"), calls=calls)
+                if found:
+                    yield pd.DataFrame({"record_id": list(found), "answer": list(found.values()), "calls": calls})
 
     return texts.select("record_id", "text").mapInPandas(run, SCHEMA)
 
