@@ -15,6 +15,12 @@ the search runs breadth first and drops what it has reached, so a dense group
 costs little more than its size, and it gives a spanning tree, never all pairs.
 Trees are joined to components by alternating star contraction.
 
+The wide search only finds candidates: what it connects is then compared by the
+exact Jaccard similarity of the sets of shingle hashes, inside each of its
+components, and only links of SIMILAR or more make the final components. Texts
+with the same set are collapsed first. A task holds the sets of one component of
+candidates at a time.
+
 Edge cases: a text without words (null, empty, white space) has fingerprint zero
 and is linked like any other. Fewer words than a shingle make one shingle of all
 of them. Repeated rows share a fingerprint. A component without any non-null id
@@ -29,14 +35,16 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import append_columns, col, discard, fresh, map_rows, written
+from corvane.llm.common import append_columns, col, discard, fresh, map_rows, small_slices, texts, written
 
 SHINGLE = 4
 RADIUS = 4
+#: Least Jaccard similarity of near copies where the radius is wide, as a fraction.
+SIMILAR = (4, 5)
 #: Bit blocks of a fingerprint; 6 of them, 2 agreeing, make 15 keys of about 21 bits.
 BLOCKS = 6
 SEED = 42
@@ -99,23 +107,24 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, sketched: bool = False) -> tuple[DataFrame, list[str]]:
-    """``docs`` with their fingerprint as a signed long and, if asked for, their bands' keys; and those columns' names."""
-    names = fresh(docs, "fingerprint", "sketch")[: 1 + sketched]
+    """``docs`` with their fingerprint as a signed long and, if asked for, their bands' keys and a hash of their set of shingles; and those columns' names."""
+    names = fresh(docs, "fingerprint", "sketch", "shingle_set")[: 3 if sketched else 1]
 
     def make():
         def run(batch: list[bytes | None]) -> list[pa.Array]:
-            prints, keys = [], []
+            prints, keys, sets = [], [], []
             for text in batch:
                 hashes = shingle_hashes(text, shingle)
                 prints.append(fold(hashes))
                 if sketched:
                     keys.append(sketch(hashes))
+                    sets.append(xxhash.xxh3_64_intdigest(np.unique(hashes).tobytes()))
             out = [pa.array(np.array(prints, dtype=np.uint64).view(np.int64))]
-            return out + ([pa.array(keys, pa.list_(pa.int64()))] if sketched else [])
+            return out + ([pa.array(keys, pa.list_(pa.int64())), pa.array(np.array(sets, dtype=np.uint64).view(np.int64))] if sketched else [])
 
         return run
 
-    kinds = (T.LongType(), T.ArrayType(T.LongType()))
+    kinds = (T.LongType(), T.ArrayType(T.LongType()), T.LongType())
     return append_columns(docs, text_col, [T.StructField(n, k) for n, k in zip(names, kinds)], make), names
 
 
@@ -314,31 +323,116 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def group(rows: DataFrame, id_col: str, f: str, tag: str, keys: str | None = None, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def _first(id_col: str, tag: str) -> Column:
+    """The first row by id (nulls last), then by tag."""
+    return F.min(F.struct(col(id_col).isNull().alias("unknown"), col(id_col).alias("id"), col(tag).alias("tag")))
+
+
+def group(rows: DataFrame, id_col: str, f: str, tag: str, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """(f, component, keeper) for every distinct fingerprint of ``rows``.
 
     ``component`` is the least id that can be reached, ``keeper`` the ``tag`` of
-    the first row of the component by id (nulls last), then by tag. With ``keys``,
-    the rows' bands, these deal the fingerprints out, else their bit blocks do.
+    the first row of the component by id (nulls last), then by tag.
     """
-    least = F.min(F.struct(col(id_col).isNull().alias("unknown"), col(id_col).alias("id"), col(tag).alias("tag")))
-    ids = written(rows.groupBy(col(f).alias("f")).agg(least.alias("least")), "fingerprints")
-    if keys is None:
-        found = links(deal_blocks(ids.select("f"), radius, blocks), radius, masks(blocks, radius))
-    else:
-        found = links(deal_bands(rows, f, keys), radius)
-    roots = components(found)
+    ids = written(rows.groupBy(col(f).alias("f")).agg(_first(id_col, tag).alias("least")), "fingerprints")
+    roots = components(links(deal_blocks(ids.select("f"), radius, blocks), radius, masks(blocks, radius)))
     rooted = ids.join(roots, F.col("f") == F.col("node"), "left").select("f", F.coalesce("root", "f").alias("root"), "least")
     best = rooted.groupBy("root").agg(F.min("least").alias("best")).select(F.col("root").alias("r"), "best")
     return rooted.join(best, F.col("root") == F.col("r")).select("f", F.col("best.id").alias("component"), F.col("best.tag").alias("keeper"))
 
 
-def marked(docs: DataFrame, text_col: str, shingle: int, keep_text: bool, sketched: bool = False) -> tuple[DataFrame, str, str, str | None]:
-    """``docs`` with fingerprint, bands and a row tag, as a table in the shared folder, so that texts are hashed once."""
+def alike(sets: list[np.ndarray]) -> list[int]:
+    """For each set of hashes the least index in its component, where sets with a Jaccard similarity of SIMILAR or more are linked.
+
+    Two such sets share one of their rarest hashes, of which so many are looked
+    up that this is certain; what shares one is compared in full.
+    """
+    over, under = SIMILAR
+    root = list(range(len(sets)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    sizes = [len(x) for x in sets]
+    _, which, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(held), dtype=np.int64)
+    rank[np.argsort(held, kind="stable")] = np.arange(len(held))
+    alone = int((held == 1).sum())  # the ranks below are in one set only
+    parts = np.split(rank[which], np.cumsum(sizes)[:-1])
+    holders: dict[int, list[int]] = {}
+    mark = np.zeros(len(held), dtype=bool)
+    for i, own in enumerate(parts):
+        n = sizes[i]
+        seen: set[int] = set()
+        for r in np.sort(own)[: n + over * n // -under + 1].tolist():
+            if r >= alone:
+                seen.update(at := holders.setdefault(r, []))
+                at.append(i)
+        mark[own] = True
+        for j in sorted(seen):
+            a, b = find(i), find(j)
+            if a != b and under * min(n, sizes[j]) >= over * max(n, sizes[j]):
+                both = int(np.count_nonzero(mark[parts[j]]))
+                if under * both >= over * (n + sizes[j] - both):
+                    root[max(a, b)] = min(a, b)
+        mark[own] = False
+    return [find(i) for i in range(len(sets))]
+
+
+_ROOTS = T.StructType([T.StructField("node", T.LongType(), False), T.StructField("root", T.LongType(), False)])
+
+
+def verified(candidates: DataFrame, shingle: int) -> DataFrame:
+    """(node, root) for every text of ``candidates``, (component, set of shingles, text), that is like another of its component."""
+    ordered = candidates.toDF("component", "own", "text").repartition("component").sortWithinPartitions("component")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
+        own: list[int] = []  # of the component that goes on
+        sets: list[np.ndarray] = []
+        now = None
+
+        def settle() -> Iterator[list[pa.Array]]:
+            if len(sets) > 1:
+                nodes, at = np.array(own, dtype=np.int64), np.array(alike(sets))
+                linked = np.flatnonzero(np.bincount(at, minlength=len(at))[at] > 1)
+                if len(linked):
+                    yield [pa.array(nodes[linked]), pa.array(nodes[at[linked]])]
+            own.clear()
+            sets.clear()
+
+        for whole in batches:
+            for batch in small_slices(whole, 2):
+                for component, node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch, 2)):
+                    if component != now:
+                        yield from settle()
+                        now = component
+                    own.append(node)
+                    sets.append(np.unique(shingle_hashes(text, shingle)))
+        yield from settle()
+
+    return map_rows(ordered, run, _ROOTS)
+
+
+def similar(rows: DataFrame, id_col: str, text_col: str, shingle: int, radius: int, f: str, keys: str, own: str, tag: str) -> DataFrame:
+    """The ``tag`` of the first row of each component of texts with a Jaccard similarity of SIMILAR or more."""
+    nodes = written(rows.groupBy(col(f).alias("f"), col(own).alias("own")).agg(_first(id_col, tag).alias("least")), "shingle-sets")
+    loose = components(links(deal_bands(rows, f, keys), radius))
+    rooted = nodes.join(loose, F.col("f") == F.col("node"), "left").select(F.coalesce("root", "f").alias("component"), "own", F.col("least.tag").alias("first"))
+    several = rooted.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select(F.col("component").alias("c"))
+    suspects = written(rooted.join(several, F.col("component") == F.col("c")).drop("c"), "suspects")
+    found = written(verified(rows.select(col(tag).alias("t"), col(text_col).alias("x")).join(suspects, F.col("t") == F.col("first")).select("component", "own", "x"), shingle), "verified")
+    joined = nodes.join(found, F.col("own") == F.col("node"), "left")
+    return joined.groupBy(F.coalesce("root", "own")).agg(F.min("least").alias("best")).select(F.col("best.tag").alias(tag))
+
+
+def marked(docs: DataFrame, text_col: str, shingle: int, keep_text: bool, sketched: bool = False) -> tuple[DataFrame, str, list[str]]:
+    """``docs`` with a row tag and the columns of ``fingerprints``, as a table in the shared folder, so that texts are hashed once."""
     out, names = fingerprints(docs, text_col, shingle, sketched)
     (tag,) = fresh(out, "row_tag")
     out = out.withColumn(tag, F.monotonically_increasing_id())
-    return written(out if keep_text else out.drop(col(text_col)), "simhash"), names[0], tag, names[1] if sketched else None
+    return written(out if keep_text else out.drop(col(text_col)), "simhash"), tag, names
 
 
 def dedup(
@@ -346,17 +440,21 @@ def dedup(
 ) -> DataFrame:
     """One row of each component of near-copies, the first by id (nulls last), with the same columns.
 
-    With ``blocks`` the search is exact for a small ``radius``; without, bands deal out.
+    With ``blocks`` the search is exact for a small ``radius``; without, bands deal
+    out candidates, and near-copies are those with a similarity of SIMILAR or more.
     """
-    rows, f, tag, keys = marked(docs, text_col, shingle, keep_text=True, sketched=blocks is None)
+    rows, tag, (f, *more) = marked(docs, text_col, shingle, keep_text=True, sketched=blocks is None)
     (k,) = fresh(rows, "keeper")
-    keepers = group(rows, id_col, f, tag, keys, radius, blocks or BLOCKS).select(F.col("keeper").alias(k)).distinct()
+    if blocks is None:
+        keepers = similar(rows, id_col, text_col, shingle, radius, f, *more, tag).select(col(tag).alias(k))
+    else:
+        keepers = group(rows, id_col, f, tag, radius, blocks).select(F.col("keeper").alias(k)).distinct()
     return rows.join(keepers, col(tag) == col(k), "left_semi").select(*(col(x) for x in docs.columns))
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hexadecimal digits), component_id."""
-    rows, f, tag, _ = marked(docs.select("doc_id", "text"), "text", SHINGLE, keep_text=False)
+    rows, tag, (f,) = marked(docs.select("doc_id", "text"), "text", SHINGLE, keep_text=False)
     groups = group(rows, "doc_id", f, tag).select(F.col("f").alias("g"), "component")
     digits = F.lower(F.lpad(F.hex(col(f)), 16, "0"))
     return rows.join(groups, col(f) == F.col("g")).select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))

@@ -223,6 +223,40 @@ def test_simhash_dedup(spark, odd, empty):
     assert simhash.dedup(clash).columns == clash.columns
 
 
+def copies(rng, n, low, high):
+    """Pairs of texts, (2i, text) and (2i + 1, its tail changed), with a Jaccard similarity of their five-word shingles between low and high."""
+    rows = []
+    while len(rows) < 2 * n:
+        ws = [f"w{rng.randrange(10**9)}" for _ in range(rng.randrange(30, 300))]
+        m, k = len(ws) - 4, rng.randrange(1, len(ws) // 2)
+        if low <= (m - k) / (m + k) < high:
+            rows += [(len(rows), " ".join(ws)), (len(rows) + 1, " ".join(ws[:-k] + [f"v{rng.randrange(10**9)}" for _ in range(k)]))]
+    return rows
+
+
+def test_simhash_similarity(spark):
+    """Near copies have an exact similarity of 0.8; texts that are less alike stay, also where they are linked by others."""
+    rng = random.Random(10)
+    less = copies(rng, 60, 0.6, 0.79)
+    more = [(i + 1000, t) for i, t in copies(rng, 20, 0.95, 1)]
+    again = [(5000, less[0][1]), (None, less[1][1])]
+    got = simhash.dedup(spark.createDataFrame(less + more + again, SCHEMA)).collect()
+    assert sorted(r["doc_id"] for r in got) == [i for i, _ in less] + [i for i, _ in more if i % 2 == 0]
+
+
+def test_simhash_alike():
+    rng = random.Random(11)
+    for _ in range(50):
+        sets = [np.array(sorted(rng.sample(range(14), rng.randrange(0, 13))), dtype=np.uint64) for _ in range(25)]
+        group = list(range(25))
+        for i in range(25):
+            for j in range(i):
+                a, b = set(sets[i].tolist()), set(sets[j].tolist())
+                if a and 5 * len(a & b) >= 4 * len(a | b):
+                    group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+        assert simhash.alike(sets) == group
+
+
 def test_secrets(spark, odd):
     text = 'é password = "abcdefGHIJ12" x AKIAABCDEFGHIJ1234 and deadbeefdeadbeef99, bearer: q7Zk3vXw9LmPt2RbYh5sD8 api_key=user_name_token'
     spans = secrets.scan(text.encode())
