@@ -244,6 +244,20 @@ def test_simhash_similarity(spark):
     assert sorted(r["doc_id"] for r in got) == [i for i, _ in less] + [i for i, _ in more if i % 2 == 0]
 
 
+def test_simhash_recall(spark):
+    """Pairs at 0.8 to 0.85 are found as by brute force, also where a text repeats itself."""
+    rng = random.Random(12)
+    rows = copies(rng, 600, 0.8, 0.85)
+    loop = " ".join(f"r{i}" for i in range(40))
+    rows += [(2000, loop + " x y z " + loop), (2001, " ".join([loop] * 30) + " x y z " + loop)]
+    got = sorted(r["doc_id"] for r in simhash.dedup(spark.createDataFrame(rows, SCHEMA)).collect())
+    wanted = []
+    for (i, a), (j, b) in zip(rows[::2], rows[1::2]):
+        a, b = ({tuple(x[k : k + 5]) for k in range(len(x) - 4)} for x in (a.split(), b.split()))
+        wanted += [i] if 5 * len(a & b) >= 4 * len(a | b) else [i, j]
+    assert got == wanted
+
+
 def test_simhash_alike():
     rng = random.Random(11)
     for _ in range(50):
