@@ -11,7 +11,8 @@ compressed bitmap of the lines to keep.
 
 Edge cases: a null or empty text is one empty line. An empty key (a blank line)
 is never dropped. Rows with the same document id are one document for the count;
-a null id is one document too. Repeated rows get the same answer. A text of which
+a null id is one document too. Repeated rows get the same answer, also where the
+first occurrence of a line is kept. A text of which
 every line goes becomes empty. Carriage returns belong to the stripped space.
 """
 
@@ -92,7 +93,7 @@ _FOUND = T.StructType(
         T.StructField("n_docs", T.LongType()),
         #: Whether the key may go on in another partition.
         T.StructField("edge", T.BooleanType(), False),
-        #: Whether the line is the first with its key in this partition.
+        #: Whether the line is the first with its key in this partition, or a repeated row's copy of the first.
         T.StructField("first", T.BooleanType(), False),
         T.StructField("doc", T.LongType()),
         T.StructField("text_hash", T.LongType()),
@@ -139,7 +140,7 @@ def _stream(min_docs: int):
             n_docs = 1 + int((block[1:, 2:4] != block[:-1, 2:4]).any(axis=1).sum())
             edge = last or not inner
             if edge or n_docs >= min_docs:
-                yield rows(block, part, edge, np.arange(len(block)) == 0)
+                yield rows(block, part, edge, (block == block[0]).all(axis=1))
             if edge:
                 yield summary(block[0], part, n_docs)
 
@@ -170,7 +171,8 @@ def _stream(min_docs: int):
                 chosen = np.zeros(len(block), dtype=bool)
                 chosen[starts[0] : starts[-1]] = np.repeat(n_docs >= min_docs, size)
                 if chosen.any():
-                    yield rows(block[chosen], part, False, new[chosen])
+                    leader = np.maximum.accumulate(np.where(new, np.arange(len(block)), 0))
+                    yield rows(block[chosen], part, False, (block == block[leader]).all(axis=1)[chosen])
             hand = [block[starts[-1] :]]
         if hand:
             yield from settle(True)
@@ -185,7 +187,8 @@ def dropped_lines(lines: DataFrame, min_docs: int = MIN_DOCS, keep: str = "none"
     """(doc, text_hash, position) of the lines to drop.
 
     ``keep="none"`` drops every line of a key in ``min_docs`` documents,
-    ``keep="first"`` all but the first by document and position.
+    ``keep="first"`` all but the first by document and position. Repeated rows get
+    one answer, so where the first stands in a repeated row it stays in every copy.
     """
     if keep not in ("none", "first"):
         raise ValueError(f"keep: {keep!r}")

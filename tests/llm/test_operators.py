@@ -98,6 +98,24 @@ def test_line_dedup(spark, odd, empty):
     assert line_dedup.dedup_lines(clash).columns == clash.columns
 
 
+@pytest.mark.parametrize("batch", [3, 10000])
+def test_line_dedup_repeated_rows(spark, batch):
+    """The first holder of a frequent line may be a repeated row, with or without an id; also where a batch or a partition ends between the copies."""
+    held = [(None, "Nowhere\nx\nNowhere")] * 3 + [(0, "Common\na\nCommon")] * 2 + [(i, f"Common\nown {i}\n") for i in range(1, 30)]
+    rows = held + [(None, f"Nowhere\n{i}") for i in range(3)] + [(i, f"b{i}\nNowhere else\nCommon") for i in range(30, 60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = [(r["doc_id"], r["text"]) for r in line_dedup.dedup_lines(docs, min_docs=10, keep="first").collect()]
+        lone = line_dedup.dedup_lines(spark.createDataFrame(held[:3], SCHEMA), min_docs=1, keep="first").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [t for i, t in got if i == 0] == ["Common\na"] * 2
+    assert sum("Common" in t for i, t in got if i != 0) == 0
+    assert sum("Nowhere else" in t for _, t in got) == 1 and sum(t == "Nowhere\nx\nNowhere" for _, t in got) == 3
+    assert [r["text"] for r in lone] == ["Nowhere\nx"] * 3
+
+
 def test_line_bitmap():
     packed = line_dedup.bitmap([1, 9])
     assert line_dedup.apply_bitmap(b"\n".join(b"%d" % i for i in range(20)), packed)[:2] == (20, 2)
