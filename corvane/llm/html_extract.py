@@ -8,8 +8,8 @@ where it dives to nothing it ends; the text between them is kept whole.
 
 A page that names its article by an element (``article``, ``main``) tells which
 lines have length at all; the rest of such a page is as empty as a menu. Elsewhere
-lines made of links count as empty too, and of several stretches of text the one
-with the most text stays, with neighbours that are not much weaker.
+lines made of links count as empty too; all that is not empty stays from the first
+surge to the last dive, and beyond them what stands in the same container.
 
 Edge cases: a null or empty page, and one without text, gives the empty text.
 Elements that are never closed end with the element around them. Broken character
@@ -33,8 +33,6 @@ from corvane.llm.common import append_columns, col, fresh
 WINDOW = 3
 #: Characters in a window from which text surges, where no element names the article.
 SURGE = 80
-#: Share of the strongest stretch's text from which another belongs to it.
-SHARE = 0.3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
@@ -82,10 +80,16 @@ def _boilerplate(name: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def lines(page: str) -> list[tuple[str, int, int]]:
-    """(text, zone, linked characters) of every line with text: zone 2 in an article, 1 elsewhere, 0 boilerplate."""
-    out: list[tuple[str, int, int]] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, boilerplate, article, link
+def lines(page: str) -> list[tuple[str, int, int, tuple[int, ...]]]:
+    """(text, zone, linked characters, containers) of every line with text.
+
+    Zone 2 is in an article, 1 elsewhere, 0 boilerplate. The containers are the
+    block elements around the line's own, by number, outermost first; of body and
+    html only one that is the innermost counts.
+    """
+    out: list[tuple[str, int, int, tuple[int, ...]]] = []
+    stack: list[tuple[str, bool, bool, bool, int]] = []  # name, boilerplate, article, link, number
+    opened = 0
     parts: list[str] = []
     linked = 0
     skip = article = link = 0
@@ -95,13 +99,15 @@ def lines(page: str) -> list[tuple[str, int, int]]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append((text, 0 if skip else 2 if article else 1, linked))
+                around = [x for x in stack if x[0] not in _INLINE][:-1]
+                around = [x[4] for x in around[:-1] if x[0] not in ("html", "body")] + [x[4] for x in around[-1:]]
+                out.append((text, 0 if skip else 2 if article else 1, linked, tuple(around)))
             parts.clear()
         linked = 0
 
     def pop() -> None:
         nonlocal skip, article, link
-        _, a, b, c = stack.pop()
+        _, a, b, c, _ = stack.pop()
         skip, article, link = skip - a, article - b, link - c
 
     last = 0
@@ -137,7 +143,8 @@ def lines(page: str) -> list[tuple[str, int, int]]:
             bad = _boilerplate(name, m[4], bool(article))
             good = name in _ARTICLE or 'role="main"' in m[4].lower()
             is_link = name == "a"
-            stack.append((name, bad, good, is_link))
+            opened += 1
+            stack.append((name, bad, good, is_link, opened))
             skip, article, link = skip + bad, article + good, link + is_link
     if last < len(page):
         parts.append(page[last:])
@@ -177,17 +184,16 @@ def extract(page: str | None) -> str:
     found = lines(page) if page else []
     if not found:
         return ""
-    named = any(zone == 2 for _, zone, _ in found)
+    named = any(zone == 2 for _, zone, _, _ in found)
     weights = np.array(
-        [len(text) if zone == 2 or (zone == 1 and not named and linked * 2 < len(text)) else 0 for text, zone, linked in found], dtype=np.float64
+        [len(text) if zone == 2 or (zone == 1 and not named and linked * 2 < len(text)) else 0 for text, zone, linked, _ in found], dtype=np.float64
     )
-    if named:
-        kept = stretches(weights, WINDOW, 1)
-    else:
-        kept = stretches(weights, WINDOW, SURGE) or stretches(weights, WINDOW, 1)
-        strongest = max((weights[a:b].sum() for a, b in kept), default=0)
-        kept = [(a, b) for a, b in kept if weights[a:b].sum() >= SHARE * strongest]
-    return "\n\n".join(found[i][0] for a, b in kept for i in range(a, b) if weights[i] > 0)
+    kept = np.flatnonzero(weights).tolist()
+    if not named and (strong := stretches(weights, WINDOW, SURGE)):
+        start, end = strong[0][0], strong[-1][1]
+        home = {found[i][3][-1] for i in kept if start <= i < end and found[i][3]}
+        kept = [i for i in kept if start <= i < end or not home.isdisjoint(found[i][3])]
+    return "\n\n".join(found[i][0] for i in kept)
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html") -> tuple[DataFrame, str]:

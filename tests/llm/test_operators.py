@@ -310,6 +310,16 @@ def test_html():
     assert html_extract.extract(None) == html_extract.extract("") == html_extract.extract("<nav>x</nav>") == ""
 
 
+def test_html_unnamed():
+    """On a page without article or main, boilerplate inside the text splits nothing off."""
+    ad = "<div class=ad><p>Buy</p><p>this</p><p>now</p><p>please</p></div>"
+    text = [f"Paragraph {i} of the running text, which goes on for a while and says something of its own." for i in range(10)]
+    body = "".join(f"<p>{x}</p>" for x in text[:8]) + ad + "".join(f"<p>{x}</p>" for x in text[8:])
+    menu = "<div><a href=1>Home</a><br><a href=2>News</a></div>"
+    page = f"<body>{menu}<p>Site</p><div class=post><p>By me.</p>{ad}{body}{ad}<ul><li>The end.</li></ul></div>{menu}{menu}{menu}<div><p>Imprint</p></div></body>"
+    assert html_extract.extract(page) == "\n\n".join(["By me.", *text, "The end."])
+
+
 def test_toxicity(spark, odd, empty, labels):
     rng = random.Random(8)
     filler = [f"w{i}" for i in range(300)]
