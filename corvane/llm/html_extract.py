@@ -60,10 +60,25 @@ _MARKS = frozenset(
     "comment comments respond disqus replies share sharing social related recommended recommendations toolbar search searchbox complementary contentinfo alert skip".split()
 )
 _PARTS = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
+#: Parts of a compound name that tell of another element's presence or state, as in "has-sidebar" or "comments-open".
+_STATES = frozenset("has have no not non with without open opened closed enabled disabled active on off left right hidden visible shown collapsed expanded sticky".split())
+#: Boilerplate by attribute, and forms, may wrap a whole page, its article included.
+_WRAPS = frozenset(("form", "fieldset"))
+#: Elements other than these end a head that is still open; raw ones, as scripts, never reach the stack.
+_HEAD = frozenset("head html base basefont bgsound link meta".split())
 #: An element that opens one of these ends an open one of the same kind.
 _CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 
 
+def _marked(token: str, inside: bool) -> bool:
+    """Whether a name marks boilerplate: a marker word as a whole, or as the first or last part of a compound without a state."""
+    parts = [x.lower() for x in _PARTS.findall(token)]
+    if not parts or (len(parts) > 1 and not _STATES.isdisjoint(parts)):
+        return False
+    ends = {token.lower(), parts[0], parts[-1]}
+    return not ends.isdisjoint(_MARKS) or (not inside and "header" in ends)
+
+
 def _boilerplate(name: str, attributes: str, inside: bool) -> bool:
     if name in _NEVER or (name in _EDGE and not inside):
         return True
@@ -74,8 +89,7 @@ def _boilerplate(name: str, attributes: str, inside: bool) -> bool:
         if key == "hidden":
             return True
         if key in ("class", "id", "role"):
-            words = {x.lower() for x in _PARTS.findall(value)}
-            if words & _MARKS or (not inside and "header" in words):
+            if any(_marked(x, inside) for x in value.strip("\"'").split()):
                 return True
     return False
 
@@ -83,13 +97,15 @@ def _boilerplate(name: str, attributes: str, inside: bool) -> bool:
 def lines(page: str) -> list[tuple[str, int, int, tuple[int, ...]]]:
     """(text, zone, linked characters, containers) of every line with text.
 
-    Zone 2 is in an article, 1 elsewhere, 0 boilerplate. The containers are the
+    Zone 2 is in an article, 1 elsewhere, 0 boilerplate, and 3 in an article that
+    a marked wrapper or a form holds. The containers are the
     block elements around the line's own, by number, outermost first; of body and
     html only one that is the innermost counts.
     """
     out: list[tuple[str, int, int, tuple[int, ...]]] = []
     stack: list[tuple[str, bool, bool, bool, int]] = []  # name, boilerplate, article, link, number
     opened = 0
+    rescued: list[tuple[int, int]] = []  # (number, boilerplate around it) of the article in a wrapper
     parts: list[str] = []
     linked = 0
     skip = article = link = 0
@@ -101,13 +117,16 @@ def lines(page: str) -> list[tuple[str, int, int, tuple[int, ...]]]:
             if text:
                 around = [x for x in stack if x[0] not in _INLINE][:-1]
                 around = [x[4] for x in around[:-1] if x[0] not in ("html", "body")] + [x[4] for x in around[-1:]]
-                out.append((text, 0 if skip else 2 if article else 1, linked, tuple(around)))
+                wrapped = bool(rescued) and skip == rescued[0][1]
+                out.append((text, 3 if wrapped else 0 if skip else 2 if article else 1, linked, tuple(around)))
             parts.clear()
         linked = 0
 
     def pop() -> None:
         nonlocal skip, article, link
-        _, a, b, c, _ = stack.pop()
+        _, a, b, c, number = stack.pop()
+        if rescued and rescued[0][0] == number:
+            rescued.clear()
         skip, article, link = skip - a, article - b, link - c
 
     last = 0
@@ -132,6 +151,9 @@ def lines(page: str) -> list[tuple[str, int, int, tuple[int, ...]]]:
                 while len(stack) > i:
                     pop()
         elif name not in _VOID and not m[4].rstrip().endswith("/"):
+            if name not in _HEAD:
+                while any(x[0] == "head" for x in stack):
+                    pop()
             if name in _CLOSES_ITSELF:
                 for i in reversed(range(len(stack))):
                     if stack[i][0] == name:
@@ -144,6 +166,8 @@ def lines(page: str) -> list[tuple[str, int, int, tuple[int, ...]]]:
             good = name in _ARTICLE or 'role="main"' in m[4].lower()
             is_link = name == "a"
             opened += 1
+            if good and not article and skip and not any(x[1] and x[0] in _NEVER - _WRAPS for x in stack):
+                rescued.append((opened, skip))
             stack.append((name, bad, good, is_link, opened))
             skip, article, link = skip + bad, article + good, link + is_link
     if last < len(page):
@@ -184,9 +208,11 @@ def extract(page: str | None) -> str:
     found = lines(page) if page else []
     if not found:
         return ""
-    named = any(zone == 2 for _, zone, _, _ in found)
+    # An article in a marked wrapper counts where no other does.
+    own = 2 if any(zone == 2 for _, zone, _, _ in found) else 3
+    named = any(zone == own for _, zone, _, _ in found)
     weights = np.array(
-        [len(text) if zone == 2 or (zone == 1 and not named and linked * 2 < len(text)) else 0 for text, zone, linked, _ in found], dtype=np.float64
+        [len(text) if zone == own or (zone == 1 and not named and linked * 2 < len(text)) else 0 for text, zone, linked, _ in found], dtype=np.float64
     )
     kept = np.flatnonzero(weights).tolist()
     if not named and (strong := stretches(weights, WINDOW, SURGE)):

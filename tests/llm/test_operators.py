@@ -320,6 +320,20 @@ def test_html_unnamed():
     assert html_extract.extract(page) == "\n\n".join(["By me.", *text, "The end."])
 
 
+def test_html_wrappers():
+    """A wrapper's name, or a head that is never closed, hides no article; boilerplate inside it stays out."""
+    article = "<article><p>The text.</p><div class='ad-slot'>Buy</div><p>The end.</p></article>"
+    for start in (
+        "<div class='layout has-sidebar'>", "<div id='page-with-comments'>", "<div class='no-sidebar'>", "<div class=comments-open>", "<div class=popup>", "<form>",
+        "<head><title>T</title><meta charset=utf-8>", "<head><title>T</title><body class=has-nav>", "<head><link href=x><div>",
+    ):
+        assert html_extract.extract(start + article) == "The text.\n\nThe end.", start
+    assert html_extract.extract(f"<div class=related><article>Else</article></div>{article}<aside><article>More</article></aside>") == "The text.\n\nThe end."
+    for name in ("comments", "comment-list", "site-footer", "mainNav", "wide sidebar", "cookie_notice"):
+        assert html_extract.extract(f"<article><p>Yes</p><div class='{name}'><p>No</p></div></article>") == "Yes"
+    assert html_extract.extract("<aside><article>More</article></aside>") == ""
+
+
 def test_toxicity(spark, odd, empty, labels):
     rng = random.Random(8)
     filler = [f"w{i}" for i in range(300)]
