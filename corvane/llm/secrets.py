@@ -4,9 +4,12 @@ Three patterns always report: assignments of long values to names such as
 ``password``, access keys, and long runs of hexadecimal digits. Beyond them every
 long token in a sensitive context (a name such as ``key`` or ``bearer`` shortly
 before it) is a candidate. A compressor is primed with a dictionary of common
-identifiers and with the text around the candidate; the bytes that the candidate
-adds to what it compresses, for each character, are its novelty. Words and
-identifiers compress well, and what does not is reported.
+identifiers and with the text around the candidate, other occurrences of it taken
+out; the bytes that the candidate adds to what it compresses, for each character,
+are its novelty. Words and identifiers compress well, and what does not is
+reported. What random characters of a small alphabet can be compressed to is not
+held against them. Letters of one case, and what is repeated, must not read like
+words either: most of their letter pairs are rare ones.
 
 Offsets are code points, ends exclusive. Spans of one kind never overlap.
 
@@ -17,6 +20,7 @@ covers in part or whole is not reported again. Repeated rows get the same spans.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 import pyarrow as pa
@@ -33,6 +37,10 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 MIN_NOVEL = 16
 #: Added compressed bytes for each character from which a candidate is reported.
 MIN_NOVELTY = 0.7
+#: Compressed bytes that random characters of a small alphabet take, at least, beyond their entropy.
+OVERHEAD = 8
+#: Share of common letter pairs from which a candidate reads like words.
+WORDED = 0.6
 #: Characters before a candidate in which a sensitive name counts, and around it that prime the compressor.
 CONTEXT, AROUND = 40, 2000
 
@@ -41,6 +49,16 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
 _CUE = re.compile(r"passwo?r?d|passphrase|pwd|secret|token|key|credential|bearer|auth|private|signature|session|cookie", re.IGNORECASE | re.ASCII)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_NOVEL)
+_TOKEN_START, _TOKEN_END = re.compile(r"[A-Za-z0-9+/_=-]+"), re.compile(r"[A-Za-z0-9+/_=-]+\Z")
+_HEX_UPPER = re.compile(r"[0-9A-F]+")
+_LETTERS = re.compile(r"[a-z]+")
+#: The most common pairs of letters in English words.
+_PAIRS = frozenset(
+    "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur ca el ta la ns "
+    "di fo ho pe ec pr no ct us ac ot il tr ly nc et ut ss so rs un lo wa ge ie wh ee wi em ad ol rt po we na ul ni ts mo ow pa im mi ai sh ir su id os iv ia am fi ci vi "
+    "pl ig tu ev ld ry mp fe bl ab gh ty op wo sa ay ex ke fr oo av ag if ap gr od bo sp rd do uc bu ei ov by rm ep tt oc fa ef cu rn sc gi da yo cr cl du ga qu ue ff ba "
+    "ey ls va um pp up lu go ru ck br rr au".split()
+)
 _CUES = (b"passw", b"passp", b"pwd", b"secret", b"token", b"key", b"credential", b"bearer", b"auth", b"private", b"signature", b"session", b"cookie")
 
 #: Identifiers and words that source code and settings are full of.
@@ -76,6 +94,34 @@ def novelty(candidate: str, before: str, after: str) -> float:
     return (len(press.compress(candidate.encode())) - frame) / len(candidate)
 
 
+def least_novelty(candidate: str) -> float:
+    """Novelty from which a candidate is reported: lower where random characters of its alphabet can be compressed further."""
+    digits, lower, upper = any(c.isdigit() for c in candidate), any(c.islower() for c in candidate), any(c.isupper() for c in candidate)
+    size = 16 if not lower and _HEX_UPPER.fullmatch(candidate) and upper else 10 * digits + 26 * lower + 26 * upper
+    return min(MIN_NOVELTY, math.log2(size) / 8 + OVERHEAD / len(candidate))
+
+
+def worded(candidate: str) -> bool:
+    """Whether most of a candidate's letter pairs are common ones."""
+    pairs = [x[i : i + 2] for x in _LETTERS.findall(candidate.lower()) for i in range(len(x) - 1)]
+    return bool(pairs) and sum(x in _PAIRS for x in pairs) >= WORDED * len(pairs)
+
+
+def surroundings(text: str, start: int, end: int) -> tuple[str, str, bool]:
+    """The text before and after a candidate without other occurrences of it, and whether there are any."""
+    before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
+    repeated = False
+    for piece in {text[start:end], *text[start:end].split("=")}:
+        if len(piece) >= MIN_NOVEL and (piece in before or piece in after):
+            repeated, before, after = True, before.replace(piece, " "), after.replace(piece, " ")
+    # A copy that the edge cuts is taken out with the token it belongs to.
+    if start > AROUND and (cut := _TOKEN_START.match(before)) and cut.end() >= MIN_NOVEL // 2:
+        before = before[cut.end() :]
+    if end + AROUND < len(text) and (cut := _TOKEN_END.search(after, max(0, len(after) - AROUND))) and len(cut[0]) >= MIN_NOVEL // 2:
+        after = after[: cut.start()]
+    return before, after, repeated
+
+
 def novel_spans(text: str, raw: bytes, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Incompressible tokens in sensitive context that no base span touches."""
     low = raw.lower()
@@ -88,9 +134,12 @@ def novel_spans(text: str, raw: bytes, taken: list[tuple[int, int, str]]) -> lis
             continue
         token = cue_free[0]
         mixed = sum((any(c.isdigit() for c in token), any(c.islower() for c in token), any(c.isupper() for c in token)))
-        if mixed < 2 or not _CUE.search(text, max(0, start - CONTEXT), start):
+        if not mixed or not _CUE.search(text, max(0, start - CONTEXT), start):
+            continue
+        before, after, repeated = surroundings(text, start, end)
+        if (mixed < 2 or repeated) and worded(token):
             continue
-        if novelty(token, text[max(0, start - AROUND) : start], text[end : end + AROUND]) >= MIN_NOVELTY:
+        if novelty(token, before, after) >= least_novelty(token):
             out.append((start, end, "novel"))
     return out
 

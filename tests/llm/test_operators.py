@@ -298,6 +298,22 @@ def test_secrets(spark, odd):
     assert secrets.report(odd).where("spans = ''").count() == len(ODD)
 
 
+def test_secrets_random():
+    """Random tokens are found whatever their alphabet or length, and where they are repeated; words and identifiers are not."""
+    rng = random.Random(13)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    novel = lambda text: [text[s:e] for s, e, _ in secrets.scan(text.encode())]  # noqa: E731  (long runs of digits are hexadecimal)
+    for alphabet in (lower, lower.upper(), digits, digits + "ABCDEF", digits + lower, digits + lower + lower.upper()):
+        for n in (24, 64, 96, 128, 400):
+            token = "".join(rng.choices(alphabet, k=n))
+            assert novel(f"the bearer is {token} here") == [token]
+            assert novel(f"the bearer is {token} here, and the key is {token}, again") == [token] * 2
+            assert novel(f"the key is {token} " + "and so on. " * 181 + f"and the key is {token}") == [token] * 2
+    for word in ("internationalisation", "INTERNATIONALISATION", "primary_partition_column", "/usr/local/lib/python/site", "Z" * 24, "-" * 24):
+        assert novel(f"the key is {word} here") == novel(f"the key is {word} here, the key is {word}") == []
+    assert novel("the key is getSessionHandlerFromRequest, " * 3) == []
+
+
 def test_html():
     page = """<html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href=x>Menu</a></li></ul></nav>
     <div class="cookie-notice">We use cookies</div><header>Site</header><article><h1>Head &amp; more</h1><p><b>One<br>two <i>in</i>line<p>Three</p>
