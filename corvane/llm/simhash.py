@@ -427,7 +427,7 @@ def similar(rows: DataFrame, id_col: str, text_col: str, shingle: int, radius: i
     rooted = nodes.join(loose, F.col("f") == F.col("node"), "left").select(F.coalesce("root", "f").alias("component"), "own", F.col("least.tag").alias("first"))
     several = rooted.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select(F.col("component").alias("c"))
     suspects = written(rooted.join(several, F.col("component") == F.col("c")).drop("c"), "suspects")
-    found = written(verified(rows.select(col(tag).alias("t"), col(text_col).alias("x")).join(suspects, F.col("t") == F.col("first")).select("component", "own", "x"), shingle), "verified")
+    found = written(verified(rows.select(col(tag).alias("t"), col(text_col).alias("x")).join(suspects.hint("merge"), F.col("t") == F.col("first")).select("component", "own", "x"), shingle), "verified")
     joined = nodes.join(found, F.col("own") == F.col("node"), "left")
     return joined.groupBy(F.coalesce("root", "own")).agg(F.min("least").alias("best")).select(F.col("best.tag").alias(tag))
 
