@@ -3,26 +3,36 @@
 Three patterns always report: assignments of long values to names such as
 ``password``, access keys, and long runs of hexadecimal digits. Beyond them every
 long token in a sensitive context (a name such as ``key`` or ``bearer`` shortly
-before it) is a candidate. A compressor is primed with a dictionary of common
-identifiers and with the text around the candidate, other occurrences of it taken
-out; the bytes that the candidate adds to what it compresses, for each character,
-are its novelty. Words and identifiers compress well, and what does not is
-reported. What random characters of a small alphabet can be compressed to is not
-held against them. Letters of one case, and what is repeated, must not read like
-words either: most of their letter pairs are rare ones.
+before it) is a candidate.
+
+A candidate's marginal bytes are those that it adds to what a compressor, primed
+with a dictionary of words and identifiers, makes of some code. Words match the
+dictionary, random characters match nothing. How many bytes random characters
+take depends on their alphabet and number, so the candidate is held against
+shuffles of its own characters: its novelty is its marginal bytes over the mean of
+theirs. A random string is as hard to compress as its shuffles, an identifier is
+much easier. Humps, cases and separators are folded first, so that
+``userSessionKey`` and ``USER_SESSION_KEY`` show the same words. What passes is
+measured once more against the code around it, other occurrences of the candidate
+taken out, and reported if it is still novel. Runs that any order compresses,
+such as one repeated character, are not.
 
 Offsets are code points, ends exclusive. Spans of one kind never overlap.
 
 Edge cases: a null or empty text has no spans. A candidate that a base span
 covers in part or whole is not reported again. Repeated rows get the same spans.
+A candidate may have any length; none is cut.
 """
 
 from __future__ import annotations
 
-import hashlib
-import math
+import bisect
+import json
+import random
 import re
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -30,44 +40,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvane.llm.common import append_columns, col, fresh
+from corvane.llm.packing import vocabulary_path
 
 KINDS = ("assign", "access", "hex", "novel")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
-#: Characters of a candidate, at least.
+#: Characters of a candidate, at least; shorter strings of random characters can't be told from words by their bytes.
 MIN_NOVEL = 16
-#: Added compressed bytes for each character from which a candidate is reported.
-MIN_NOVELTY = 0.7
-#: Compressed bytes that random characters of a small alphabet take, at least, beyond their entropy.
-OVERHEAD = 8
-#: Share of common letter pairs from which a candidate reads like words.
-WORDED = 0.6
-#: Characters before a candidate in which a sensitive name counts, and around it that prime the compressor.
+#: Marginal bytes, as a share of those of the candidate's shuffles, from which it is reported.
+MIN_NOVELTY = 0.92
+#: Marginal bytes for each character below which a candidate is a pattern whatever its order.
+MIN_BYTES = 0.4
+#: Shuffles that a candidate is held against; one will do where it has many characters.
+SHUFFLES, MANY = 6, 4096
+#: Characters before a candidate in which a sensitive name counts, and on each side of it that prime the compressor.
 CONTEXT, AROUND = 40, 2000
+#: Words of the vocabulary in the dictionary, the most frequent ones with five letters or more.
+WORDS = 12_000
+LEVEL = 19
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
 _CUE = re.compile(r"passwo?r?d|passphrase|pwd|secret|token|key|credential|bearer|auth|private|signature|session|cookie", re.IGNORECASE | re.ASCII)
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_NOVEL)
-_TOKEN_START, _TOKEN_END = re.compile(r"[A-Za-z0-9+/_=-]+"), re.compile(r"[A-Za-z0-9+/_=-]+\Z")
-_HEX_UPPER = re.compile(r"[0-9A-F]+")
-_LETTERS = re.compile(r"[a-z]+")
-#: The most common pairs of letters in English words.
-_PAIRS = frozenset(
-    "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur ca el ta la ns "
-    "di fo ho pe ec pr no ct us ac ot il tr ly nc et ut ss so rs un lo wa ge ie wh ee wi em ad ol rt po we na ul ni ts mo ow pa im mi ai sh ir su id os iv ia am fi ci vi "
-    "pl ig tu ev ld ry mp fe bl ab gh ty op wo sa ay ex ke fr oo av ag if ap gr od bo sp rd do uc bu ei ov by rm ep tt oc fa ef cu rn sc gi da yo cr cl du ga qu ue ff ba "
-    "ey ls va um pp up lu go ru ck br rr au".split()
-)
 _CUES = (b"passw", b"passp", b"pwd", b"secret", b"token", b"key", b"credential", b"bearer", b"auth", b"private", b"signature", b"session", b"cookie")
-
-#: Identifiers and words that source code and settings are full of.
-_IDENTIFIERS = " ".join(
-    f"{a}{sep}{b}"
-    for sep in ("_", "-", "")
-    for a in ("access", "api", "app", "auth", "aws", "client", "config", "database", "default", "private", "public", "secret", "service", "session", "user")
-    for b in ("address", "bucket", "certificate", "connection", "credential", "endpoint", "identifier", "key", "name", "password", "region", "secret", "server", "timeout", "token", "version")
-).encode() + b" https://www.example.com/index.html?id=0123456789 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ "
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_NOVEL)
+_TOKEN_START, _TOKEN_END = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[A-Za-z0-9+/_-]+\Z")
+#: Words of an identifier: humps, runs of capitals, digits.
+_HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+#: Words that source code and settings are full of.
+_CODE = (
+    "if else for while return def class import from public static void int string new this self null none true false function var let const async await try catch except raise throw "
+    "get set add remove update delete create find load save read write open close start stop init build make parse format validate check test run handle process send receive connect "
+    "user name id key value type size count index list map array item node data file path dir url host port server client request response session token secret password auth login "
+    "account config setting option param arg env default error message status code state event time date end min max first last next previous parent child root base main app service "
+    "manager factory builder provider handler controller model view table column row field record query result cache buffer stream input output source target context version"
+).split()
+_RUNS = "abcdefghijklmnopqrstuvwxyz 0123456789 qwertyuiop asdfghjkl zxcvbnm"
 
 
 def base_spans(text: str, raw: bytes) -> list[tuple[int, int, str]]:
@@ -82,44 +90,70 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, int, str]]:
     return out
 
 
-def novelty(candidate: str, before: str, after: str) -> float:
-    """Compressed bytes that a candidate adds to its surroundings, for each character.
-
-    The dictionary holds the identifiers and the surroundings without the
-    candidate; an empty frame is taken off.
-    """
-    known = zstandard.ZstdCompressionDict(_IDENTIFIERS + after.encode() + b"\n" + before.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    press = zstandard.ZstdCompressor(level=19, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False)
-    frame = len(press.compress(b""))
-    return (len(press.compress(candidate.encode())) - frame) / len(candidate)
-
-
-def least_novelty(candidate: str) -> float:
-    """Novelty from which a candidate is reported: lower where random characters of its alphabet can be compressed further."""
-    digits, lower, upper = any(c.isdigit() for c in candidate), any(c.islower() for c in candidate), any(c.isupper() for c in candidate)
-    size = 16 if not lower and _HEX_UPPER.fullmatch(candidate) and upper else 10 * digits + 26 * lower + 26 * upper
-    return min(MIN_NOVELTY, math.log2(size) / 8 + OVERHEAD / len(candidate))
-
-
-def worded(candidate: str) -> bool:
-    """Whether most of a candidate's letter pairs are common ones."""
-    pairs = [x[i : i + 2] for x in _LETTERS.findall(candidate.lower()) for i in range(len(x) - 1)]
-    return bool(pairs) and sum(x in _PAIRS for x in pairs) >= WORDED * len(pairs)
-
-
-def surroundings(text: str, start: int, end: int) -> tuple[str, str, bool]:
-    """The text before and after a candidate without other occurrences of it, and whether there are any."""
-    before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
-    repeated = False
-    for piece in {text[start:end], *text[start:end].split("=")}:
-        if len(piece) >= MIN_NOVEL and (piece in before or piece in after):
-            repeated, before, after = True, before.replace(piece, " "), after.replace(piece, " ")
+def folded(text: str) -> str:
+    """The words of identifiers, lower-case, with one separator between them."""
+    return "_".join(_HUMP.findall(text)).lower()
+
+
+class Novelty:
+    """Marginal compressed bytes against a dictionary of the vocabulary's words and some code made of them."""
+
+    def __init__(self, vocabulary: str | None = None) -> None:
+        with open(vocabulary or vocabulary_path(), encoding="utf-8") as file:
+            entries = json.load(file)["model"]["vocab"]
+        words = [w[:-4] for w in entries if w.endswith("</w>")]
+        words = [w for w in words if w.isascii() and w.isalpha()]
+        rng = random.Random(5)
+        common = [w for w in words if len(w) > 2][:3000]
+        # The nearer a word stands to the end, the shorter is a reference to it.
+        known = " ".join([*reversed([w for w in words if len(w) > 4][:WORDS]), _RUNS, *_CODE])
+        lines = [f"{'_'.join(rng.sample(_CODE, 2))} = {'_'.join(rng.sample(common, 2))}({rng.choice(_CODE)}, {rng.randrange(100)}) {rng.choice(words)}" for _ in range(60)]
+        self._code = "\n".join(lines) + "\n"
+        held = zstandard.ZstdCompressionDict(known.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        held.precompute_compress(level=LEVEL)
+        self._press = zstandard.ZstdCompressor(dict_data=held, level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
+        self._alone = lru_cache(maxsize=20_000)(lambda token: self.measure(token, ""))
+
+    def measure(self, token: str, around: str) -> float:
+        """Marginal bytes of ``token`` after ``around``, over those of its shuffles; 0 where any order compresses."""
+        token = folded(token)
+        start = (self._code + around).encode()
+        plain = len(self._press.compress(start))
+
+        def cost(x: str) -> int:
+            return len(self._press.compress(start + x.encode())) - plain
+
+        own = cost(token)
+        if own < MIN_BYTES * len(token):
+            return 0.0
+        if len(token) > MANY:
+            letters = np.frombuffer(token.encode(), dtype=np.uint8)
+            others = [np.random.default_rng(len(token)).permutation(letters).tobytes().decode()]
+        else:
+            rng = random.Random(token)
+            others = ["".join(rng.sample(token, len(token))) for _ in range(SHUFFLES)]
+        return own / max(sum(map(cost, others)) / len(others), 1)
+
+    def passes(self, token: str, before: str, after: str) -> bool:
+        """Whether a candidate is novel by itself and after the code around it."""
+        return self._alone(token) >= MIN_NOVELTY and self.measure(token, folded(after) + "\n" + folded(before) + "\n") >= MIN_NOVELTY
+
+
+@lru_cache(maxsize=1)
+def _novelty() -> Novelty:
+    return Novelty()
+
+
+def surroundings(text: str, start: int, end: int) -> tuple[str, str]:
+    """The text before and after a candidate without other occurrences of it."""
+    before, after, token = text[max(0, start - AROUND) : start], text[end : end + AROUND], text[start:end]
+    before, after = before.replace(token, " "), after.replace(token, " ")
     # A copy that the edge cuts is taken out with the token it belongs to.
     if start > AROUND and (cut := _TOKEN_START.match(before)) and cut.end() >= MIN_NOVEL // 2:
         before = before[cut.end() :]
     if end + AROUND < len(text) and (cut := _TOKEN_END.search(after, max(0, len(after) - AROUND))) and len(cut[0]) >= MIN_NOVEL // 2:
         after = after[: cut.start()]
-    return before, after, repeated
+    return before, after
 
 
 def novel_spans(text: str, raw: bytes, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
@@ -127,19 +161,20 @@ def novel_spans(text: str, raw: bytes, taken: list[tuple[int, int, str]]) -> lis
     low = raw.lower()
     if not any(x in low for x in _CUES):
         return []
+    starts: list[int] = []
+    reach: list[int] = []  # the furthest end of the base spans up to here
+    for s, e, _ in sorted(taken):
+        starts.append(s)
+        reach.append(max(e, reach[-1]) if reach else e)
     out = []
-    for cue_free in _CANDIDATE.finditer(text):
-        start, end = cue_free.span()
-        if any(s < end and start < e for s, e, _ in taken):
-            continue
-        token = cue_free[0]
-        mixed = sum((any(c.isdigit() for c in token), any(c.islower() for c in token), any(c.isupper() for c in token)))
-        if not mixed or not _CUE.search(text, max(0, start - CONTEXT), start):
+    for m in _CANDIDATE.finditer(text):
+        start, end = m.span()
+        k = bisect.bisect_left(starts, end)
+        if k and reach[k - 1] > start:
             continue
-        before, after, repeated = surroundings(text, start, end)
-        if (mixed < 2 or repeated) and worded(token):
+        if not _HUMP.search(m[0]) or not _CUE.search(text, max(0, start - CONTEXT), start):
             continue
-        if novelty(token, before, after) >= least_novelty(token):
+        if _novelty().passes(m[0], *surroundings(text, start, end)):
             out.append((start, end, "novel"))
     return out
 
