@@ -1,18 +1,21 @@
 """Toxicity by multiple-instance learning.
 
-A text is a bag of sentences. Each sentence has a probability from a logistic
-model over its words, and the text's is their noisy-or: one minus the product of
-what the sentences leave. The model is trained through that product from labels
-of whole texts alone, and then tells which sentences made a text toxic.
+A text is a bag of sentences, and a sentence a bag of features, which its words
+have. A feature has a rate, zero for almost all; a sentence is toxic with the
+noisy-or of its features, one minus exp of minus the sum of their rates, and a
+text with the noisy-or of its sentences. The rates are trained through that
+product from labels of whole texts alone, and then tell which sentences made a
+text toxic. A sentence without a feature that has a rate adds nothing, so neutral
+text of any length scores zero.
 
 A word counts by its hash and by the hash of its first letters, so that an
 inflected form that training never saw still resembles its stem. A sentence's
-score rests on its set of words, and words with no weight add nothing.
+score rests on its set of words.
 
 Edge cases: a null or empty text has no sentence and the score 0. Labels of null,
 ids without a document and null ids are not learnt from. Without labels of both
 classes every score is 0. A text without sentence marks is one sentence for each
-line. Repeated rows get the same score.
+line. Repeated rows get the same score. Ids may be of any type.
 """
 
 from __future__ import annotations
@@ -28,19 +31,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import append_columns, col, fresh, held_out, learnable, map_rows, small_slices, texts
+from corvane.llm.common import append_columns, col, discard, fresh, held_out, learnable, map_rows, small_slices, texts, written
 
 THRESHOLD = 0.3
 #: Labelled rows to learn from, at most, by class (0, 1): those whose ids hash lowest. Their weights restore the classes' shares.
 SAMPLE = (4000, 2000)
-BUCKETS = 1 << 18
+#: Numbers for features: so many that a rare word hardly shares one with a frequent word.
+BUCKETS = 1 << 24
 #: First letters that make a word's stem.
 STEM = 5
-STEPS = 300
-#: A feature needs this many toxic texts, and to be so many times as frequent in them as in clean ones.
-MIN_TOXIC, MIN_RATIO = 2, 1.5
-#: Toxic texts' worth of likelihood that a weight of one must explain.
-SPARSITY = 0.5
+STEPS = 400
+#: A feature needs so many different toxic sentences, copies counted once, and to be so many times as frequent in toxic texts as in clean ones.
+MIN_SENTENCES, MIN_RATIO = 3, 6
+#: Sentences without effect that every feature is taken to have been in, beside those that it was in.
+PRIOR = 0.3
+#: Rates below this are noise and become zero.
+MIN_RATE = 0.1
 
 #: ASCII letters and digits and whatever is beyond ASCII make words; '.', '!', '?' and line ends end sentences.
 _FOLD = bytes(
@@ -64,153 +70,153 @@ def buckets(word: bytes) -> tuple[int, int]:
 
 
 class _Weighted(dict):
-    """The features of a word that have a weight; each word is hashed once while it is remembered."""
+    """The features of a word that have a rate; each word is hashed once while it is remembered."""
 
-    def __init__(self, weights: np.ndarray, size: int) -> None:
+    def __init__(self, rates: dict[int, float], size: int) -> None:
         super().__init__()
-        self.weights, self.size = weights, size
+        self.rates, self.size = rates, size
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) >= self.size:
             self.clear()
-        out = self[word] = tuple(x for x in buckets(word) if self.weights[x])
+        out = self[word] = tuple(x for x in buckets(word) if x in self.rates)
         return out
 
 
 class Model:
-    """Sentence probabilities and their noisy-or."""
+    """Rates of features, and the noisy-or of what has them."""
 
-    def __init__(self, weights: np.ndarray, bias: float, size: int = 100_000) -> None:
-        self.weights, self.bias, self.size = weights, bias, size
-        self.known = _Weighted(weights, size)
-        self.quiet = _sigmoid(bias)
+    def __init__(self, rates: dict[int, float], size: int = 100_000) -> None:
+        self.rates, self.size = rates, size
+        self.known = _Weighted(rates, size)
 
-    def __getstate__(self):
-        at = np.flatnonzero(self.weights)
-        return at, self.weights[at], self.bias, self.size
+    def __reduce__(self):
+        return Model, (self.rates, self.size)
 
-    def __setstate__(self, state):
-        at, values, bias, size = state
-        weights = np.zeros(BUCKETS)
-        weights[at] = values
-        self.__init__(weights, bias, size)
+    def rate(self, ws: list[bytes]) -> float:
+        """Sum of the rates of a sentence's features."""
+        found = set().union(*filter(None, map(self.known.__getitem__, ws)))
+        return float(sum(self.rates[x] for x in sorted(found))) if found else 0.0
 
     def sentence(self, ws: list[bytes]) -> float:
         """Probability that a sentence is toxic."""
-        found = set().union(*filter(None, map(self.known.__getitem__, ws)))
-        return _sigmoid(self.bias + sum(self.weights[x] for x in sorted(found))) if found else self.quiet
+        return float(-np.expm1(-self.rate(ws)))
 
     def score(self, text: bytes | None) -> float:
-        left = 1.0
-        for ws in sentences(text):
-            left *= 1 - self.sentence(ws)
-        return float(1 - left)
-
-
-def _sigmoid(z: float) -> float:
-    return float(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
+        return float(-np.expm1(-sum(map(self.rate, sentences(text)))))
 
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, sizes: tuple[int, int]) -> tuple[DataFrame, dict[int, int]]:
-    """Texts of the labelled rows to learn from, and how many rows each class has in all."""
+    """(row, hash of the id, label, text) of the labelled rows to learn from, and how many rows each class has in all."""
     rows = labels.select(col(id_col).alias("s_id"), col(label).cast("int").alias("s_label")).where(learnable("s_id")).where("s_label in (0, 1)")
     totals = {r["s_label"]: r["count"] for r in rows.groupBy("s_label").count().collect()}
     order = F.xxhash64(F.lit(9), "s_id")
     chosen = reduce(DataFrame.unionByName, [rows.where(F.col("s_label") == k).orderBy(order, "s_id").limit(sizes[k]) for k in (0, 1)])
     own = docs.select(col(id_col).alias("t_id"), col(text_col).alias("t_text"))
     # As many small rows as ``sizes`` say at most: this side is bounded whatever the corpus holds.
-    return own.join(F.broadcast(chosen), F.col("t_id") == F.col("s_id")).select("s_id", "s_label", "t_text"), totals
+    found = own.join(F.broadcast(chosen), F.col("t_id") == F.col("s_id"))
+    return found.select(F.monotonically_increasing_id(), F.xxhash64("s_id"), "s_label", "t_text"), totals
+
+
+_COUNTS = T.StructType(
+    [
+        T.StructField("row", T.LongType(), False),
+        T.StructField("id", T.LongType(), False),
+        T.StructField("label", T.IntegerType(), False),
+        T.StructField("feature", T.IntegerType(), False),
+        #: Sentences of the text that have the feature, and the least hash of one.
+        T.StructField("n", T.IntegerType(), False),
+        T.StructField("least", T.LongType(), False),
+    ]
+)
 
 
-def _bags(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Labels, features of all sentences, features in each sentence, sentences in each text; the texts stay on the executors."""
+def _counts(sample: DataFrame) -> DataFrame:
+    """A row for each text of the sample, (row, id, label, text), and feature that it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
+        known: dict[bytes, tuple[int, int]] = {}
         for whole in batches:
-            for batch in small_slices(whole, 2):
-                bags = []
-                for text in texts(batch, 2):
-                    bags.append([sorted({x for w in set(ws) for x in buckets(w)}) for ws in sentences(text)])
-                yield [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(bags, pa.list_(pa.list_(pa.int32())))]
-
-    schema = T.StructType(
-        [T.StructField("id", T.LongType()), T.StructField("label", T.IntegerType()), T.StructField("bag", T.ArrayType(T.ArrayType(T.IntegerType())))]
-    )
-    rows = map_rows(sample, run, schema).toArrow()
-    rows = rows.take(pa.array(np.lexsort([rows["label"].to_numpy(), rows["id"].to_numpy()])))  # the fit doesn't hang on the order of arrival
-    bags = rows["bag"].combine_chunks()
-    sentences_ = bags.flatten()
-    return (
-        rows["label"].to_numpy().astype(np.float64),
-        np.asarray(sentences_.flatten()),
-        np.asarray(sentences_.value_lengths()).astype(np.int64),
-        np.asarray(bags.value_lengths()).astype(np.int64),
-    )
-
-
-def fit(y: np.ndarray, at: np.ndarray, in_sentence: np.ndarray, in_text: np.ndarray, totals: dict[int, int] | None = None, steps: int = STEPS) -> Model | None:
-    """Maximum likelihood of whole texts' labels under noisy-or, with an L1 penalty, by accelerated proximal steps."""
-    if len(set(y.tolist())) < 2:
-        return None
-    shares = np.array([(totals or {}).get(k, (y == k).sum()) / (y == k).sum() for k in (0, 1)])
-    weight = shares[y.astype(int)]
-    penalty = SPARSITY * shares[1] / weight.sum()
-    weight = weight / weight.sum()
-
-    # Features that speak for toxicity; others can explain no label.
-    text_of_sentence = np.repeat(np.arange(len(in_text)), in_text)
-    sentence = np.repeat(np.arange(len(in_sentence), dtype=np.int32), in_sentence)
-    bounds = np.r_[0, np.cumsum(in_sentence)][np.r_[0, np.cumsum(in_text)]]
-    toxic, clean = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for label, start, end in zip(y.tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
-        (toxic if label == 1 else clean)[np.unique(at[start:end])] += 1
-    speaks = (toxic >= MIN_TOXIC) & (toxic / (y == 1).sum() > MIN_RATIO * clean / (y == 0).sum())
-    kept = speaks[at]
-    used, at = np.unique(at[kept], return_inverse=True)
-    loud, of = np.unique(sentence[kept], return_inverse=True)  # sentences with such a feature
-    bag_of = text_of_sentence[loud]
-    quiet = in_text - np.bincount(bag_of, minlength=len(in_text))
-    n = len(loud)
-
-    def forward(w: np.ndarray, b: float):
-        z = np.clip(np.bincount(of, weights=w[at], minlength=n) + b, -30, 30)
-        p, rest = 1 / (1 + np.exp(-z)), _sigmoid(b)
-        left = np.bincount(bag_of, weights=-np.log1p(-p), minlength=len(y)) - quiet * np.log1p(-rest)  # minus the log of the product
-        loss = (weight * np.where(y == 1, -np.log(np.maximum(-np.expm1(-left), 1e-12)), left)).sum()
-        return loss + penalty * np.abs(w).sum(), p, rest, left
-
-    w, b = np.zeros(len(used)), -5.0
-    vw, vb, pace, step, last = w, b, 1.0, 4.0, np.inf
-    for _ in range(steps):
-        loss, p, rest, left = forward(vw, vb)
-        # A toxic text blames its sentences by their share, a clean one each by itself.
-        pull = np.where(y == 1, -np.exp(-left) / np.maximum(-np.expm1(-left), 1e-9), 1.0) * weight
-        g = pull[bag_of] * p
-        gw, gb = np.bincount(at, weights=g[of], minlength=len(used)), g.sum() + (pull * quiet).sum() * rest
-        while True:
-            nw = vw - step * gw
-            nw = np.sign(nw) * np.maximum(np.abs(nw) - step * penalty, 0)
-            nb = vb - 0.3 * step * float(np.clip(gb, -1, 1))
-            now = forward(nw, nb)[0]
-            if now <= loss + 1e-9 or step < 1e-3:
-                break
-            step /= 2
-        after = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-        vw, vb = nw + (pace - 1) / after * (nw - w), nb + (pace - 1) / after * (nb - b)
-        if now > last:  # overshot: the momentum starts anew
-            vw, vb, after = nw, nb, 1.0
-        w, b, pace, last, step = nw, nb, after, now, 1.1 * step
-    weights = np.zeros(BUCKETS)
-    weights[used] = w
-    return Model(weights, float(b))
+            for batch in small_slices(whole, 3):
+                of, at, n, least = [], [], [], []
+                for k, text in enumerate(texts(batch, 3)):
+                    found: dict[int, list[int]] = {}
+                    for ws in sentences(text):
+                        own = set(ws)
+                        digest = xxhash.xxh3_64_intdigest(b" ".join(sorted(own))) >> 1
+                        if len(known) > 200_000:
+                            known.clear()
+                        for x in {x for w in own for x in (known.get(w) or known.setdefault(w, buckets(w)))}:
+                            seen = found.setdefault(x, [0, digest])
+                            seen[0] += 1
+                            seen[1] = min(seen[1], digest)
+                    of += [k] * len(found)
+                    at += found
+                    n += [x[0] for x in found.values()]
+                    least += [x[1] for x in found.values()]
+                take = pa.array(of, pa.int64())
+                yield [*(batch.column(i).take(take) for i in range(3)), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(least, pa.int64())]
+
+    return map_rows(sample, run, _COUNTS)
+
+
+def fit(text_of: np.ndarray, label_of: np.ndarray, feature: np.ndarray, n: np.ndarray, weight: tuple[float, float] = (1.0, 1.0), steps: int = STEPS) -> dict[int, float]:
+    """Rates of the features that have one, by expectation maximisation of the labels' likelihood.
+
+    The rows say how many sentences ``n`` of the text numbered ``text_of`` have a
+    ``feature``; ``label_of`` has the label of each text. A toxic text shares its
+    toxicity among its features by their rates, a clean one has none to share, and
+    a feature's next rate is its shares for each sentence that has it. ``weight``
+    is what a text of each class counts for.
+    """
+    used, at = np.unique(feature, return_inverse=True)
+    if not len(used):
+        return {}
+    own = np.array(weight)[label_of]
+    toxic = np.where(label_of == 1, own, 0.0)
+    exposed = np.bincount(at, weights=n * own[text_of]) + PRIOR
+    rate = np.full(len(used), 0.2)
+    for k in range(2 * steps):
+        if k == steps:
+            rate[rate < MIN_RATE] = 0
+        left = np.bincount(text_of, weights=n * rate[at], minlength=len(label_of))
+        share = toxic / np.maximum(-np.expm1(-left), 1e-9)
+        rate = rate * np.bincount(at, weights=n * share[text_of]) / exposed
+    return {f: r for f, r in zip(used.tolist(), rate.tolist()) if r >= MIN_RATE}
 
 
 def train(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sizes: tuple[int, int] = SAMPLE
 ) -> Model | None:
-    """The model from a bounded sample of labelled rows; None if a class is missing."""
+    """The model from a bounded sample of labelled rows; None if a class is missing.
+
+    Features are counted and chosen on the executors; the driver gets the counts of
+    the chosen ones in the sample's texts.
+    """
     sample, totals = _sample(docs, labels, label, id_col, text_col, sizes)
-    return fit(*_bags(sample), totals)
+    if any(not totals.get(k) for k in (0, 1)):
+        return None
+    counts = written(_counts(sample), "toxic-counts")
+    # As many rows as ``sizes`` say at most.
+    rows = {r["label"]: r["n"] for r in counts.groupBy("label").agg(F.countDistinct("row").alias("n")).collect()}
+    if len(rows) < 2:
+        discard(counts)
+        return None
+    stats = counts.groupBy("feature").agg(
+        F.countDistinct(F.when(F.col("label") == 1, F.col("least"))).alias("sentences"),
+        *(F.sum(F.when(F.col("label") == k, 1).otherwise(0)).alias(f"in_{k}") for k in (0, 1)),
+    )
+    speaks = (F.col("in_1") / F.lit(rows[1])) >= MIN_RATIO * (F.col("in_0") + 0.5) / F.lit(rows[0])
+    # BUCKETS rows at most.
+    chosen = stats.where(F.col("sentences") >= MIN_SENTENCES).where(speaks).select(F.col("feature").alias("chosen"))
+    got = counts.join(F.broadcast(chosen), F.col("feature") == F.col("chosen"), "left_semi").orderBy("id", "row", "feature").select("row", "label", "feature", "n").toArrow()
+    discard(counts)
+    _, first, text_of = np.unique(got["row"].to_numpy(), return_index=True, return_inverse=True)
+    label_of = got["label"].to_numpy()[first].astype(np.int64)
+    # The sample's classes count as much as all labelled rows of them do.
+    shares = [totals[k] / rows[k] for k in (0, 1)]
+    weight = tuple(float(x / shares[1]) for x in shares)
+    return Model(fit(text_of, label_of, got["feature"].to_numpy(), got["n"].to_numpy().astype(np.float64), weight))
 
 
 def score(docs: DataFrame, model: Model | None, text_col: str = "text") -> tuple[DataFrame, str]:
