@@ -7,6 +7,7 @@ current batch is held.
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import uuid
 from collections.abc import Callable, Iterator
@@ -112,7 +113,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
 
@@ -133,9 +135,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._corvane_path = path
+    for held in _SCOPES:
+        held.append(out)
     return out
 
 
+_SCOPES: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def scratch(keep: Callable[[], DataFrame | None]) -> Iterator[None]:
+    """Deletes, at its end, the tables that were ``written`` inside, but for the one that ``keep`` gives."""
+    held: list[DataFrame] = []
+    _SCOPES.append(held)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(held)
+        kept = keep()
+        for df in held:
+            if df is not kept:
+                discard(df)
+
+
 def discard(df: DataFrame) -> None:
     """Deletes a table that ``written`` made and no plan needs any more."""
     spark = df.sparkSession
@@ -155,3 +177,56 @@ def learnable(id_col: str) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def number(df: DataFrame, id_col: str) -> Column:
+    """An id as a 64-bit number: itself where it is an integer, else a hash; null stays null."""
+    if isinstance(df.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return col(id_col).cast("long")
+    return F.when(col(id_col).isNotNull(), F.xxhash64(col(id_col)))
+
+
+#: Keys that are taken as hot, at most, and rows of a key that is never hot.
+HOT_KEYS, COLD_ROWS = 10_000, 256
+
+
+def join_skewed(left: DataFrame, right: DataFrame, key: str, right_key: str, count: str, total: int) -> DataFrame:
+    """Inner join where ``right`` has every key once, and in ``count`` its number of rows on the left.
+
+    Keys that hold more than one in HOT_KEYS of the ``total`` rows of ``left``, of
+    which there are HOT_KEYS at most, are broadcast, so that the rows of a hot key
+    stay where they are. The others are shuffled, and none is hot. ``count`` is
+    not among the columns of the result.
+    """
+    limit = max(COLD_ROWS, total // HOT_KEYS)
+    right = written(right, "keys")
+    hot = right.where(F.col(count) > limit).drop(count)
+    if hot.isEmpty():
+        return left.join(right.drop(count), F.col(key) == F.col(right_key))
+    cold = right.where(F.col(count) <= limit).drop(count)
+    near = left.join(F.broadcast(hot), F.col(key) == F.col(right_key))
+    far = left.join(F.broadcast(hot.select(F.col(right_key).alias("_hot_key"))), F.col(key) == F.col("_hot_key"), "left_anti")
+    return near.unionByName(far.join(cold, F.col(key) == F.col(right_key)))
+
+
+def in_pairs(rows: DataFrame, keys: list[str], by: str, limit: int) -> DataFrame:
+    """``rows`` with two columns i and j more, such that no (keys, i, j) has more than about twice ``limit`` rows.
+
+    A group of more than ``limit`` rows is cut into blocks by a hash of ``by``,
+    and its rows go to every pair of blocks that has theirs, so that any two rows
+    of a group meet. Rows of other groups have i and j zero. Any two rows of a
+    group with equal ``by`` fall into one block.
+    """
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
+    sizes = written(sizes.select(*(F.col(k).alias(f"_{x}") for x, k in enumerate(keys)), F.ceil(F.col("_n") / limit).cast("int").alias("_blocks")), "sizes")
+    if not (groups := sizes.count()):
+        return rows.withColumns({"i": F.lit(0), "j": F.lit(0)})
+    if groups <= HOT_KEYS:
+        sizes = F.broadcast(sizes)
+    on = [F.col(k) == F.col(f"_{x}") for x, k in enumerate(keys)]
+    large = rows.join(sizes, on)
+    own = F.pmod(F.xxhash64(by), F.col("_blocks")).cast("int")
+    paired = large.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    paired = paired.withColumns({"i": F.least("_own", "_other"), "j": F.greatest("_own", "_other")}).select(*rows.columns, "i", "j")
+    small = rows.join(sizes, on, "left_anti").withColumns({"i": F.lit(0), "j": F.lit(0)})
+    return small.unionByName(paired)

@@ -244,7 +244,7 @@ def match(
         fields = [T.StructField(a, f.dataType) for a, f in zip(wider, fields)]
         got = append_columns(out, text_col, fields, make)
         if before:
-            joint = F.udf(merged, T.ArrayType(T.IntegerType()))
+            joint = F.udf(merged, T.ArrayType(T.IntegerType()), useArrow=True)
             got = got.select(
                 *(col(c) for c in docs.columns),
                 col(names[0]),

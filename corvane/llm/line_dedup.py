@@ -1,19 +1,21 @@
 """Line dedup by range-partitioned hashes with a secondary sort.
 
 Every line becomes (128-bit hash of its key, document, position). The hashes are
-range-partitioned together with the document, so that a key that a large part of
-the corpus holds is cut over many partitions, and each partition is sorted by
-hash, document and position. A stream over the sorted rows counts the documents
-of each key and knows its first occurrence. Only the first and the last key of a
-partition can go on in another; their counts, two rows for each partition, are
-summed and sent back. Texts are never sorted: what returns to the documents is a
-compressed bitmap of the lines to keep.
+range-partitioned together with the document and the position, so that a key that
+a large part of the corpus holds is cut over many partitions, and each partition
+is sorted by hash, document and position. A stream over the sorted rows counts the
+documents of each key and knows its first occurrence. Only the first and the last
+key of a partition can go on in another; their counts, two rows for each
+partition, are summed and sent back. What returns to the documents is a compressed
+bitmap of the lines to keep, for those that lose any. A bit table of FILTER_BITS,
+broadcast, tells which documents may have one; only those are shuffled to meet
+their bitmaps, and the others stay where they are.
 
 Edge cases: a null or empty text is one empty line. An empty key (a blank line)
 is never dropped. Rows with the same document id are one document for the count;
 a null id is one document too. Repeated rows get the same answer, also where the
-first occurrence of a line is kept. A text of which
-every line goes becomes empty. Carriage returns belong to the stripped space.
+first occurrence of a line is kept. Ids that are no integers count by a 64-bit hash.
+A text of which every line goes becomes empty. Carriage returns belong to the stripped space.
 """
 
 from __future__ import annotations
@@ -24,14 +26,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import col, fresh, map_rows, small_slices, texts, written
+from corvane.llm.common import col, fresh, map_rows, number, scratch, small_slices, texts, written
 
 MIN_DOCS = 10
 MIN_CHARS = 1
+#: Bits of the table that tells which documents may lose lines; 64 of them are a row of the broadcast.
+FILTER_BITS = 1 << 26
 _SPACE = b" \t\n\x0b\x0c\r"
 #: Not the first byte of a code point.
 _TAIL = bytes(range(0x80, 0xC0))
@@ -49,8 +53,8 @@ def _pieces(text: bytes | None) -> list[bytes]:
     return (text or b"").split(b"\n")
 
 
-def _text_hash(text: bytes | None) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(text or b"")).astype(np.int64))
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(col(text_col), F.lit("")))
 
 
 def line_rows(docs: DataFrame, id_col: str, text_col: str, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -60,7 +64,7 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str, min_chars: int = MIN_
         digest = xxhash.xxh3_128_digest
         for whole in batches:
             for batch in small_slices(whole, 1):
-                hashes, counts, positions, text_hashes = [], [], [], []
+                hashes, counts, positions = [], [], []
                 for text in texts(batch, 1):
                     keys = [line_key(x) for x in _pieces(text)]
                     if min_chars <= 1:
@@ -70,18 +74,17 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str, min_chars: int = MIN_
                     hashes += [digest(keys[i]) for i in at]
                     positions += at
                     counts.append(len(at))
-                    text_hashes.append(_text_hash(text))
                 both = np.frombuffer(b"".join(hashes), dtype=">i8").reshape(-1, 2).astype(np.int64)
                 of = pa.array(np.repeat(np.arange(len(counts)), counts))
                 yield [
                     pa.array(both[:, 0]),
                     pa.array(both[:, 1]),
                     batch.column(0).take(of),
-                    pa.array(np.repeat(np.array(text_hashes, dtype=np.int64), counts)),
+                    batch.column(2).take(of),
                     pa.array(np.array(positions, dtype=np.int64)),
                 ]
 
-    return map_rows(docs.select(col(id_col).cast("long"), col(text_col)), run, _LINES)
+    return map_rows(docs.select(number(docs, id_col), col(text_col), _text_hash(text_col)), run, _LINES)
 
 
 _FOUND = T.StructType(
@@ -98,6 +101,9 @@ _FOUND = T.StructType(
         T.StructField("doc", T.LongType()),
         T.StructField("text_hash", T.LongType()),
         T.StructField("position", T.LongType()),
+        #: In a summary row, the last document with the key; ``doc`` and ``text_hash`` have the first.
+        T.StructField("last_doc", T.LongType()),
+        T.StructField("last_hash", T.LongType()),
     ]
 )
 
@@ -122,10 +128,13 @@ def _stream(min_docs: int):
             pa.array(block[:, 2], mask=block[:, 3].astype(bool)),
             pa.array(block[:, 4]),
             pa.array(block[:, 5]),
+            *[pa.nulls(n, pa.int64())] * 2,
         ]
 
-    def summary(row: np.ndarray, part: int, n_docs: int) -> list[pa.Array]:
-        one = [part, int(row[0]), int(row[1]), n_docs, True, False, None, None, None]
+    def summary(block: np.ndarray, part: int, n_docs: int) -> list[pa.Array]:
+        (high, low, *first), last = block[0].tolist(), block[-1].tolist()
+        doc, last_doc = (None if x else d for d, x in (first[:2], last[2:4]))
+        one = [part, high, low, n_docs, True, False, doc, first[2], None, last_doc, last[4]]
         return [pa.array([v], t) for v, t in zip(one, _ARROW)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
@@ -142,7 +151,7 @@ def _stream(min_docs: int):
             if edge or n_docs >= min_docs:
                 yield rows(block, part, edge, (block == block[0]).all(axis=1))
             if edge:
-                yield summary(block[0], part, n_docs)
+                yield summary(block, part, n_docs)
 
         for batch in batches:
             if not batch.num_rows:
@@ -180,7 +189,7 @@ def _stream(min_docs: int):
     return run
 
 
-_ARROW = [pa.int32(), *[pa.int64()] * 3, *[pa.bool_()] * 2, *[pa.int64()] * 3]
+_ARROW = [pa.int32(), *[pa.int64()] * 3, *[pa.bool_()] * 2, *[pa.int64()] * 5]
 
 
 def dropped_lines(lines: DataFrame, min_docs: int = MIN_DOCS, keep: str = "none") -> DataFrame:
@@ -192,12 +201,18 @@ def dropped_lines(lines: DataFrame, min_docs: int = MIN_DOCS, keep: str = "none"
     """
     if keep not in ("none", "first"):
         raise ValueError(f"keep: {keep!r}")
-    dealt = lines.repartitionByRange("high", "low", "doc").sortWithinPartitions("high", "low", "doc", "text_hash", "position")
+    order = ["high", "low", "doc", "text_hash", "position"]
+    # Range partitioning samples its input first; the lines are hashed once for that and for the sort.
+    dealt = written(lines, "line-hashes").repartitionByRange(*order).sortWithinPartitions(*order)
     found = written(map_rows(dealt, _stream(min_docs), _FOUND), "lines")
     # Two rows for each partition at most, whatever the corpus holds.
+    edges = found.where("edge and position is null").select(F.col("high").alias("t_high"), F.col("low").alias("t_low"), "part", "n_docs", "doc", "last_doc")
+    before = Window.partitionBy("t_high", "t_low").orderBy("part")
+    # A document that goes on in the next partition was counted in both.
+    again = F.lag("part").over(before).isNotNull() & F.col("doc").eqNullSafe(F.lag("last_doc").over(before))
     totals = (
-        found.where("position is null")
-        .groupBy(F.col("high").alias("t_high"), F.col("low").alias("t_low"))
+        edges.select("t_high", "t_low", "part", (F.col("n_docs") - again.cast("int")).alias("n_docs"))
+        .groupBy("t_high", "t_low")
         .agg(F.sum("n_docs").alias("t_docs"), F.min("part").alias("t_part"))
         .where(F.col("t_docs") >= min_docs)
     )
@@ -232,25 +247,41 @@ def apply_bitmap(text: bytes | None, packed: bytes | None) -> tuple[int, int, by
 def keep_bitmaps(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, keep: str = "none"
 ) -> DataFrame:
-    """(doc, text_hash, keep_bits) for each document that loses lines."""
+    """(doc, text_hash, keep_bits) for each document that loses lines, as a table in the shared folder."""
     pack = F.udf(bitmap, T.BinaryType(), useArrow=True)
-    lost = dropped_lines(line_rows(docs, id_col, text_col, min_chars), min_docs, keep)
-    return lost.groupBy("doc", "text_hash").agg(F.collect_set("position").alias("positions")).select("doc", "text_hash", pack("positions").alias("keep_bits"))
+    out = None
+    with scratch(lambda: out):
+        lost = dropped_lines(line_rows(docs, id_col, text_col, min_chars), min_docs, keep)
+        packed = lost.groupBy("doc", "text_hash").agg(F.collect_set("position").alias("positions")).select("doc", "text_hash", pack("positions").alias("keep_bits"))
+        out = written(packed, "keep-bits")
+    return out
 
 
 def _with_bitmaps(docs: DataFrame, bits: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
-    """``docs`` and their bitmaps (null: every line stays), by id and text hash; rows that lose nothing are not reordered."""
-    a, b, c, d = fresh(docs, "line_doc", "line_text_hash", "line_text_hash_own", "keep_bits")
+    """``docs`` and their bitmaps (null: every line stays), by id and text hash.
 
-    at, schema = docs.columns.index(text_col), T.StructType([*docs.schema.fields, T.StructField(c, T.LongType())])
+    Documents that the bit table rules out take no part in the join.
+    """
+    a, b, c, d, e, w, x = fresh(docs, "line_doc", "line_text_hash", "line_text_hash_own", "keep_bits", "line_doc_own", "filter_word", "filter_bits")
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
-        for batch in batches:
-            yield [*batch.columns, pa.array([_text_hash(x) for x in texts(batch, at)], pa.int64())]
+    def place(doc: Column, text_hash: Column) -> Column:
+        return F.pmod(F.xxhash64(doc, text_hash), F.lit(FILTER_BITS))
+
+    def one(at: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), at.cast("int"))
 
+    at = place(F.col("doc"), F.col("text_hash"))
+    # FILTER_BITS / 64 rows at most.
+    table = bits.select(F.floor(at / 64).cast("long").alias(w), one(at % 64).alias(x)).groupBy(w).agg(F.bit_or(x).alias(x))
+    keyed = docs.withColumns({e: number(docs, id_col), c: _text_hash(text_col)})
+    at = place(col(e), col(c))
+    marked = keyed.withColumn("_" + w, F.floor(at / 64).cast("long")).join(F.broadcast(table), F.col("_" + w) == F.col(w), "left")
+    maybe = F.coalesce(col(x).bitwiseAND(one(at % 64)) != 0, F.lit(False))
     right = bits.select(F.col("doc").alias(a), F.col("text_hash").alias(b), F.col("keep_bits").alias(d))
-    joined = map_rows(docs, hashed, schema).join(right, col(id_col).cast("long").eqNullSafe(col(a)) & (col(c) == col(b)), "left")
-    return joined.select(*(col(x) for x in docs.columns), col(d)), d
+    touched = marked.where(maybe).join(right, col(e).eqNullSafe(col(a)) & (col(c) == col(b)), "left")
+    own = [col(n) for n in docs.columns]
+    rest = marked.where(~maybe).select(*own, F.lit(None).cast("binary").alias(d))
+    return touched.select(*own, col(d)).unionByName(rest), d
 
 
 def dedup_lines(

@@ -18,12 +18,19 @@ Trees are joined to components by alternating star contraction.
 The wide search only finds candidates: what it connects is then compared by the
 exact Jaccard similarity of the sets of shingle hashes, inside each of its
 components, and only links of SIMILAR or more make the final components. Texts
-with the same set are collapsed first. A task holds the sets of one component of
-candidates at a time.
+with the same set are collapsed first. A component of more than GROUP different
+texts is cut into blocks that meet pair by pair, so a task holds 2 * GROUP sets at
+most, at the price of so many more of them as there are blocks; a bucket of more
+than BUCKET fingerprints likewise.
+
+Hot keys, such as the fingerprint of empty texts or the root of a large component,
+are joined by broadcast; HOT_KEYS bounds their number.
 
 Edge cases: a text without words (null, empty, white space) has fingerprint zero
 and is linked like any other. Fewer words than a shingle make one shingle of all
-of them. Repeated rows share a fingerprint. A component without any non-null id
+of them. For the wide search a word is a run of letters, digits and whatever is
+beyond ASCII; a text of punctuation alone has its runs of anything but space for
+words, so that it is like no empty text. Repeated rows share a fingerprint. A component without any non-null id
 has a null component id.
 """
 
@@ -39,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import append_columns, col, discard, fresh, map_rows, small_slices, texts, written
+from corvane.llm.common import append_columns, col, discard, fresh, in_pairs, join_skewed, map_rows, scratch, small_slices, texts, written
 
 SHINGLE = 4
 RADIUS = 4
@@ -54,11 +61,21 @@ BANDS, ROWS = 20, 5
 #: Shingles of five words. The fingerprints of two sets with a similarity of 0.8 differ in 9.7 bits, give or take 2.9,
 #: so that but a few pairs in a hundred thousand exceed this radius.
 WIDE_SHINGLE, WIDE_RADIUS = 5, 22
+#: Texts of a component, and fingerprints of a bucket, that one task compares; more go in pairs of blocks.
+GROUP, BUCKET = 512, 1 << 14
+
+#: A-Z become a-z, and every byte that is no letter or digit, nor part of anything beyond ASCII, becomes a space.
+_FOLD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 0x80 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
+
 
+def folded_words(text: bytes | None) -> list[bytes]:
+    """Words for the wide search."""
+    return (text.translate(_FOLD).split() or text.split()) if text else []
 
-def shingle_hashes(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
+
+def shingle_hashes(text: bytes | None, shingle: int = SHINGLE, folded: bool = False) -> np.ndarray:
     """XXH64 of the word shingles, repeats included; of all words where they are fewer."""
-    ws = text.lower().split() if text else []
+    ws = folded_words(text) if folded else text.lower().split() if text else []
     if not ws:
         return np.zeros(0, dtype="<u8")
     digest = xxhash.xxh64_intdigest
@@ -118,7 +135,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE
         def run(batch: list[bytes | None]) -> list[pa.Array]:
             prints, keys, sets = [], [], []
             for text in batch:
-                hashes = shingle_hashes(text, shingle)
+                hashes = shingle_hashes(text, shingle, folded=sketched)
                 if sketched:  # the similarity is one of sets, so repeats must not move the fingerprint
                     hashes = np.unique(hashes)
                     keys.append(sketch(hashes))
@@ -246,7 +263,8 @@ def links(dealt: DataFrame, radius: int, common: list[int] | None = None) -> Dat
 
     ``common`` masks, for each ``m``, the bits that all of a bucket share.
     """
-    ordered = dealt.repartition("m", "k").sortWithinPartitions("m", "k")
+    dealt = in_pairs(dealt, ["m", "k"], "f", BUCKET)
+    ordered = dealt.repartition("m", "k", "i", "j").sortWithinPartitions("m", "k", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         hand: list[np.ndarray] = []  # the bucket that goes on
@@ -266,9 +284,9 @@ def links(dealt: DataFrame, radius: int, common: list[int] | None = None) -> Dat
         for batch in batches:
             if not batch.num_rows:
                 continue
-            m, k, f = (np.asarray(batch.column(i)) for i in range(3))
+            m, k, f, one, two = (np.asarray(batch.column(i)) for i in range(5))
             f = f.astype(np.int64).view(np.uint64)
-            starts = np.r_[0, np.flatnonzero((m[1:] != m[:-1]) | (k[1:] != k[:-1])) + 1]
+            starts = np.r_[0, np.flatnonzero((m[1:] != m[:-1]) | (k[1:] != k[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])) + 1]
             ends = np.r_[starts[1:], len(f)]
             a: list = []
             b: list = []
@@ -277,7 +295,7 @@ def links(dealt: DataFrame, radius: int, common: list[int] | None = None) -> Dat
             edge = {0, len(starts) - 1}
             for g in sorted({*busy.tolist(), *edge}):
                 s, e = int(starts[g]), int(ends[g])
-                own = (int(m[s]), int(k[s]))
+                own = (int(m[s]), int(k[s]), int(one[s]), int(two[s]))
                 if hand and own == key:
                     hand.append(f[s:e])
                 else:
@@ -297,16 +315,16 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an edge list (a, b): root is the least node of its component.
 
     Alternating large-star and small-star steps; each is a minimum by node, which
-    is summed before the shuffle, and a join that adaptive execution can split
-    where a node has very many edges. Every round is written to the shared folder.
+    is taken before the shuffle, and a join that leaves the edges of nodes with very
+    many where they are. Every round is written to the shared folder.
     """
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def star(e: DataFrame, large: bool, total: int) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         if not large:
             both = both.where("b < a")
-        least = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("n"), F.least("a", "low").alias("low"))
-        joined = both.join(least, F.col("a") == F.col("n"))
+        least = both.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("edges")).select(F.col("a").alias("n"), F.least("a", "low").alias("low"), "edges")
+        joined = join_skewed(both, least, "a", "n", "edges", total)
         if large:
             out = joined.where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         else:
@@ -319,7 +337,10 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = state(now)
     while seen[0]:
-        last, now = now, written(star(star(now, large=True), large=False), "edges")
+        last = now
+        with scratch(lambda: now):
+            half = written(star(last, True, 2 * seen[0]), "edges")
+            now = written(star(half, False, 2 * seen[0]), "edges")
         discard(last)
         if (after := state(now)) == seen:
             break
@@ -334,16 +355,18 @@ def _first(id_col: str, tag: str) -> Column:
 
 
 def group(rows: DataFrame, id_col: str, f: str, tag: str, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """(f, component, keeper) for every distinct fingerprint of ``rows``.
+    """(f, component, keeper, n) for every distinct fingerprint of ``rows``.
 
     ``component`` is the least id that can be reached, ``keeper`` the ``tag`` of
-    the first row of the component by id (nulls last), then by tag.
+    the first row of the component by id (nulls last), then by tag, and ``n`` the
+    number of rows with the fingerprint.
     """
-    ids = written(rows.groupBy(col(f).alias("f")).agg(_first(id_col, tag).alias("least")), "fingerprints")
+    ids = written(rows.groupBy(col(f).alias("f")).agg(_first(id_col, tag).alias("least"), F.count("*").alias("n")), "fingerprints")
     roots = components(links(deal_blocks(ids.select("f"), radius, blocks), radius, masks(blocks, radius)))
-    rooted = ids.join(roots, F.col("f") == F.col("node"), "left").select("f", F.coalesce("root", "f").alias("root"), "least")
-    best = rooted.groupBy("root").agg(F.min("least").alias("best")).select(F.col("root").alias("r"), "best")
-    return rooted.join(best, F.col("root") == F.col("r")).select("f", F.col("best.id").alias("component"), F.col("best.tag").alias("keeper"))
+    rooted = written(ids.join(roots, F.col("f") == F.col("node"), "left").select("f", F.coalesce("root", "f").alias("root"), "least", "n"), "rooted")
+    best = rooted.groupBy("root").agg(F.min("least").alias("best"), F.count("*").alias("members")).select(F.col("root").alias("r"), "best", "members")
+    joined = join_skewed(rooted, best, "root", "r", "members", ids.count())
+    return written(joined.select("f", F.col("best.id").alias("component"), F.col("best.tag").alias("keeper"), "n"), "groups")
 
 
 def alike(sets: list[np.ndarray]) -> list[int]:
@@ -386,15 +409,20 @@ def alike(sets: list[np.ndarray]) -> list[int]:
     return [find(i) for i in range(len(sets))]
 
 
-_ROOTS = T.StructType([T.StructField("node", T.LongType(), False), T.StructField("root", T.LongType(), False)])
+_ROOTS = T.StructType([T.StructField("node", T.LongType(), False), T.StructField("root", T.LongType(), False), T.StructField("cut", T.BooleanType(), False)])
 
 
 def verified(candidates: DataFrame, shingle: int) -> DataFrame:
-    """(node, root) for every text of ``candidates``, (component, set of shingles, text), that is like another of its component."""
-    ordered = candidates.toDF("component", "own", "text").repartition("component").sortWithinPartitions("component")
+    """(node, root, cut) for every text of ``candidates`` that is like another one of its group.
+
+    The columns of ``candidates`` are component, i, j, own (a hash of the set of
+    shingles) and text; component, i and j make a group. ``cut``: whether the
+    group is but a pair of blocks of its component.
+    """
+    ordered = candidates.toDF("component", "i", "j", "own", "text").repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
-        own: list[int] = []  # of the component that goes on
+        own: list[int] = []  # of the group that goes on
         sets: list[np.ndarray] = []
         now = None
 
@@ -403,18 +431,18 @@ def verified(candidates: DataFrame, shingle: int) -> DataFrame:
                 nodes, at = np.array(own, dtype=np.int64), np.array(alike(sets))
                 linked = np.flatnonzero(np.bincount(at, minlength=len(at))[at] > 1)
                 if len(linked):
-                    yield [pa.array(nodes[linked]), pa.array(nodes[at[linked]])]
+                    yield [pa.array(nodes[linked]), pa.array(nodes[at[linked]]), pa.array(np.full(len(linked), now[2] > 0))]
             own.clear()
             sets.clear()
 
         for whole in batches:
-            for batch in small_slices(whole, 2):
-                for component, node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch, 2)):
-                    if component != now:
+            for batch in small_slices(whole, 4):
+                for *key, node, text in zip(*(batch.column(i).to_pylist() for i in range(4)), texts(batch, 4)):
+                    if key != now:
                         yield from settle()
-                        now = component
+                        now = key
                     own.append(node)
-                    sets.append(np.unique(shingle_hashes(text, shingle)))
+                    sets.append(np.unique(shingle_hashes(text, shingle, folded=True)))
         yield from settle()
 
     return map_rows(ordered, run, _ROOTS)
@@ -424,11 +452,18 @@ def similar(rows: DataFrame, id_col: str, text_col: str, shingle: int, radius: i
     """The ``tag`` of the first row of each component of texts with a Jaccard similarity of SIMILAR or more."""
     nodes = written(rows.groupBy(col(f).alias("f"), col(own).alias("own")).agg(_first(id_col, tag).alias("least")), "shingle-sets")
     loose = components(links(deal_bands(rows, f, keys), radius))
-    rooted = nodes.join(loose, F.col("f") == F.col("node"), "left").select(F.coalesce("root", "f").alias("component"), "own", F.col("least.tag").alias("first"))
-    several = rooted.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select(F.col("component").alias("c"))
-    suspects = written(rooted.join(several, F.col("component") == F.col("c")).drop("c"), "suspects")
-    found = written(verified(rows.select(col(tag).alias("t"), col(text_col).alias("x")).join(suspects.hint("merge"), F.col("t") == F.col("first")).select("component", "own", "x"), shingle), "verified")
-    joined = nodes.join(found, F.col("own") == F.col("node"), "left")
+    joined = nodes.join(loose, F.col("f") == F.col("node"), "left")
+    rooted = written(joined.select(F.coalesce("root", "f").alias("component"), "own", F.col("least.tag").alias("first")), "rooted")
+    several = rooted.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select(F.col("component").alias("c"), "n")
+    suspects = written(join_skewed(rooted, several, "component", "c", "n", nodes.count()).select("component", "own", "first"), "suspects")
+    paired = in_pairs(suspects, ["component"], "own", GROUP)
+    texts_of = rows.select(col(tag).alias("t"), col(text_col).alias("x"))
+    found = written(verified(texts_of.join(paired.hint("merge"), F.col("t") == F.col("first")).select("component", "i", "j", "own", "x"), shingle), "verified")
+    # A pair of blocks has but some of a component's links; what they link is joined once more.
+    whole = found.where("not cut").select("node", "root")
+    if not (parts := found.where("cut and node != root")).isEmpty():
+        whole = whole.unionByName(components(parts.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    joined = nodes.join(whole, F.col("own") == F.col("node"), "left")
     return joined.groupBy(F.coalesce("root", "own")).agg(F.min("least").alias("best")).select(F.col("best.tag").alias(tag))
 
 
@@ -460,6 +495,7 @@ def dedup(
 def report(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hexadecimal digits), component_id."""
     rows, tag, (f,) = marked(docs.select("doc_id", "text"), "text", SHINGLE, keep_text=False)
-    groups = group(rows, "doc_id", f, tag).select(F.col("f").alias("g"), "component")
+    groups = group(rows, "doc_id", f, tag).select(F.col("f").alias("g"), "component", "n")
     digits = F.lower(F.lpad(F.hex(col(f)), 16, "0"))
-    return rows.join(groups, col(f) == F.col("g")).select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
+    joined = join_skewed(rows, groups, f, "g", "n", rows.count())
+    return joined.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
