@@ -1,14 +1,18 @@
 """Quality rules: fixed base rules, then a calibrated classifier on hashed n-grams.
 
 The classifier is a logistic regression over hashed word unigrams and bigrams and
-hashed character trigrams, each as shares of the text, trained on labelled rows
-and calibrated by Platt scaling on labelled rows that training did not see.
-Documents are scored in Arrow batches against a fixed threshold.
+hashed character trigrams, each as shares of the text, trained on labelled rows.
+Every fifth row of each class is kept from training and calibrates the margin by
+Platt scaling, weighted so that the classes have the shares that they have among
+all labelled rows; a class of fewer than five rows calibrates on what it was
+trained on. Documents are scored in Arrow batches against a fixed threshold.
 
 Edge cases: a null or empty text has no words, zero counts, and fails the base
 rules. Labels of null, and ids without a document, are ignored. Repeated label
 rows count as often as they occur. Without labels of both classes there is no
-classifier, and the base rules decide alone.
+classifier, and the base rules decide alone. Long texts are hashed in pieces that
+overlap by a word, so that memory is bounded and no n-gram is lost. Ids may be of
+any type.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +42,11 @@ THRESHOLD = 0.5
 _SPACE = b" \t\n\x0b\x0c\r"
 _TAIL = bytes(range(0x80, 0xC0))
 _SYMBOLS = b"#*$%&|<>"
-_POWERS = np.uint64(0x9E3779B97F4A7C15)
+#: Characters that are hashed at a time, and the longest stretch looked through for a place to cut.
+PIECE, LONG = 1 << 20, 1 << 12
+_SPACES = np.isin(np.arange(256), list(_SPACE))
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_POWER = np.cumprod(np.r_[np.uint64(1), np.full(LONG - 1, 1099511628211, dtype=np.uint64)], dtype=np.uint64)
 
 
 def base_counts(text: bytes | None) -> tuple[int, int, int, int, int]:
@@ -62,71 +71,93 @@ def base_counts(text: bytes | None) -> tuple[int, int, int, int, int]:
     return n, chars, symbols, len(lines) - len(set(lines)), repeated
 
 
-def features(batch: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers of all n-grams of several texts, and the bounds of each text's.
+def pieces(text: bytes | None) -> list[tuple[np.ndarray, int]]:
+    """Code points of a text in pieces of about PIECE, and how many at the start of each repeat the last word of the one before.
 
-    For each text: word unigrams and bigrams in [0, BUCKETS), then character
-    trigrams in [BUCKETS, 2 * BUCKETS). Words and characters are hashed from the
-    bytes of the whole batch at once.
+    A piece ends before a space, where there is one. The overlap joins the n-grams across the cut.
     """
-    raw = b"\n\n\n".join([b"", *(x or b"" for x in batch), b""])
-    data = np.frombuffer(raw, dtype=np.uint8)
-    sizes = np.array([len(x or b"") for x in batch], dtype=np.int64)
+    points = np.frombuffer((text or b"").decode().encode("utf-32-le"), dtype="<u4")
+    out, start, repeated = [], 0, 0
+    while len(points) - start > 2 * PIECE:
+        end = start + PIECE
+        low = max(start + repeated, end - LONG)
+        space = _SPACES[np.minimum(points[low:end], 255)]
+        ends = np.flatnonzero(space[1:] & ~space[:-1])  # the last characters of words
+        if len(ends):
+            end = low + int(ends[-1]) + 1
+        out.append((points[start:end], repeated))
+        low = max(start, end - LONG)
+        before = np.flatnonzero(_SPACES[np.minimum(points[low:end], 255)])
+        repeated = max(end - low - 1 - int(before[-1]) if len(before) else 0, 2)
+        start = end - repeated
+    out.append((points[start:], repeated))
+    return out
+
+
+def features(batch: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Numbers of the word unigrams, word bigrams and character trigrams of each text.
+
+    Words are in [0, BUCKETS), trigrams of characters in [BUCKETS, 2 * BUCKETS).
+    All words and characters of a batch are hashed at once, long texts in pieces.
+    """
+    out, group, size = [], [], 0
+    parts = [(i, *x) for i, text in enumerate(batch) for x in pieces(text)]
+    found: list[list] = [[] for _ in batch]
+    for k, (i, points, repeated) in enumerate(parts):
+        group.append((i, points, repeated))
+        size += len(points)
+        if size >= PIECE or k == len(parts) - 1:
+            for (j, _, _), grams in zip(group, _hashed([(p, r) for _, p, r in group])):
+                found[j].append(grams)
+            group, size = [], 0
+    for grams in found:
+        out.append(tuple(np.concatenate([g[n] for g in grams]) if len(grams) > 1 else grams[0][n] for n in range(3)))
+    return out
+
+
+def _hashed(group: list[tuple[np.ndarray, int]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    gap = np.full(3, 10, dtype=np.uint32)
+    data = np.concatenate([gap, *(x for p, _ in group for x in (p, gap))])
+    sizes = np.array([len(p) for p, _ in group], dtype=np.int64)
     begin = 3 + np.r_[0, np.cumsum(sizes + 3)[:-1]]
     end = begin + sizes
 
-    # Words: a polynomial hash of each run of bytes that aren't space.
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    edge = np.flatnonzero(np.diff(space.view(np.int8)))  # raw begins and ends with space
+    # Words: a polynomial hash of each run of characters that aren't space.
+    space = _SPACES[np.minimum(data, 255)]
+    edge = np.flatnonzero(np.diff(space.view(np.int8)))  # data begins and ends with space
     first, last = edge[::2] + 1, edge[1::2] + 1
+    word = np.zeros(0, dtype=np.uint64)
     if len(first):
         length = last - first
-        place = np.arange(len(data), dtype=np.int64)
-        start_of = np.repeat(first, length)
-        inside = ~space
-        power = _power_table(int(length.max()) if len(length) else 1)
-        terms = (data[inside].astype(np.uint64) + np.uint64(1)) * power[place[inside] - start_of]
+        # Of a very long word, what stands LONG characters apart has the same factor.
+        place = np.flatnonzero(~space) - np.repeat(first, length)
+        terms = (data[~space].astype(np.uint64) + np.uint64(1)) * _POWER[place % LONG] + (place // LONG).astype(np.uint64)
         word = np.add.reduceat(terms, np.r_[0, np.cumsum(length)[:-1]])
         word ^= word >> np.uint64(29)
-        word *= _POWERS
+        word *= _FACTOR
         word ^= word >> np.uint64(32)
-    else:
-        word = np.zeros(0, dtype=np.uint64)
-    word_bounds = np.searchsorted(first, np.r_[begin, end[-1:]]) if len(batch) else np.zeros(1, dtype=np.int64)
+    bounds = np.searchsorted(first, np.r_[begin, end[-1:]])
     pair = np.zeros_like(word)
     if len(word):
         pair[1:] = word[:-1] * np.uint64(31) + word[1:]
         pair ^= pair >> np.uint64(31)
-        pair *= _POWERS
+        pair *= _FACTOR
     heads = np.zeros(len(word), dtype=bool)
-    heads[word_bounds[:-1][word_bounds[:-1] < len(word)]] = True
+    heads[bounds[:-1][bounds[:-1] < len(word)]] = True
     one = (word >> np.uint64(40)).astype(np.int64) % BUCKETS
     two = np.where(heads, one, (pair >> np.uint64(40)).astype(np.int64) % BUCKETS)
 
-    # Characters: trigrams of bytes.
     wide = data.astype(np.uint64)
-    tri = (wide[:-2] << np.uint64(16) | wide[1:-1] << np.uint64(8) | wide[2:]) * _POWERS
-    three = (tri >> np.uint64(44)).astype(np.int64) % BUCKETS + BUCKETS
-    return _joined(one, two, three, word_bounds, begin, end)
-
-
-_POWER: list[np.ndarray] = [np.ones(1, dtype=np.uint64)]
-
-
-def _power_table(n: int) -> np.ndarray:
-    if len(_POWER[0]) < n:
-        with np.errstate(over="ignore"):
-            _POWER[0] = np.cumprod(np.r_[np.uint64(1), np.full(2 * n, 1099511628211, dtype=np.uint64)], dtype=np.uint64)
-    return _POWER[0]
-
-
-def _joined(one, two, three, bounds, begin, end):
-    """The three kinds of n-grams of each text, one text after another, as lists of arrays."""
-    per_text = [
-        (one[bounds[i] : bounds[i + 1]], two[bounds[i] : bounds[i + 1]], three[begin[i] : max(end[i] - 2, begin[i])])
-        for i in range(len(begin))
-    ]
-    return per_text
+    three = (wide[:-2] * np.uint64(0x10001) + wide[1:-1]) * np.uint64(0x10003) + wide[2:]
+    three *= _FACTOR
+    three = (three >> np.uint64(44)).astype(np.int64) % BUCKETS + BUCKETS
+    out = []
+    for k, (_, repeated) in enumerate(group):
+        s, e = bounds[k], bounds[k + 1]
+        again = 1 if s < e and first[s] < begin[k] + repeated else 0  # the word that the piece before ends with
+        from_ = begin[k] + max(repeated - 2, 0)
+        out.append((one[s + again : e], two[s + again : e], three[from_ : max(end[k] - 2, from_)]))
+    return out
 
 
 @dataclass(frozen=True)
@@ -151,19 +182,15 @@ class Model:
         return out
 
 
-def _sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, per_class: int, salt: int) -> DataFrame:
-    """Texts of up to ``per_class`` labelled rows of each class, those whose ids hash lowest."""
-    from functools import reduce
-
-    rows = labels.select(col(id_col).alias("s_id"), col(label).cast("int").alias("s_label")).where("s_id is not null")
+def _sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, per_class: int, salt: int) -> tuple[DataFrame, dict[int, int]]:
+    """Texts of up to ``per_class`` labelled rows of each class, those whose ids hash lowest, and how many rows each class has in all."""
+    rows = labels.select(col(id_col).alias("s_id"), col(label).cast("int").alias("s_label")).where("s_id is not null and s_label in (0, 1)")
+    totals = {r["s_label"]: r["count"] for r in rows.groupBy("s_label").count().collect()}
     order = F.xxhash64(F.lit(salt), "s_id")
-    chosen = reduce(
-        DataFrame.unionByName,
-        [rows.where(F.col("s_label") == k).orderBy(order, "s_id").limit(per_class) for k in (0, 1)],
-    )
+    chosen = reduce(DataFrame.unionByName, [rows.where(F.col("s_label") == k).orderBy(order, "s_id").limit(per_class) for k in (0, 1)])
     texts_ = docs.select(col(id_col).alias("t_id"), col(text_col).alias("t_text"))
     # Two times per_class small rows at most: this side is bounded whatever the corpus holds.
-    return texts_.join(F.broadcast(chosen), F.col("t_id") == F.col("s_id")).select("s_id", "s_label", "t_text")
+    return texts_.join(F.broadcast(chosen), F.col("t_id") == F.col("s_id")).select(F.xxhash64("s_id"), "s_label", "t_text"), totals
 
 
 def labelled_features(sample: DataFrame) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
@@ -183,7 +210,7 @@ def labelled_features(sample: DataFrame) -> tuple[np.ndarray, list[tuple[np.ndar
                     at.append(nz.astype(np.int32))
                     share.append(total[nz].astype(np.float32))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(at, pa.list_(pa.int32())), pa.array(share, pa.list_(pa.float32()))],
+                    [batch.column(0), batch.column(1), pa.array(at, pa.list_(pa.int32())), pa.array(share, pa.list_(pa.float32()))],
                     names=["id", "label", "at", "share"],
                 )
 
@@ -194,13 +221,18 @@ def labelled_features(sample: DataFrame) -> tuple[np.ndarray, list[tuple[np.ndar
     return rows["label"].to_numpy()[order].astype(np.float64), out
 
 
-def fit(labels: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], steps: int = 150, decay: float = 1e-4) -> Model | None:
-    """Logistic regression by accelerated gradient steps on rescaled features; every fifth row calibrates."""
+def fit(
+    labels: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], totals: dict[int, int] | None = None, steps: int = 150, decay: float = 1e-4
+) -> Model | None:
+    """Logistic regression by accelerated gradient steps on rescaled features; every fifth row of a class calibrates.
+
+    ``totals`` are the numbers of rows that the classes have outside the sample.
+    """
     if len(set(labels.tolist())) < 2:
         return None
-    held = np.arange(len(rows)) % 5 == 4
-    if len(set(labels[held].tolist())) < 2 or len(set(labels[~held].tolist())) < 2:
-        held[:] = False
+    held = np.zeros(len(rows), dtype=bool)
+    for k in (0, 1):
+        held[np.flatnonzero(labels == k)[4::5]] = True
     train = np.flatnonzero(~held)
     at = np.concatenate([rows[i][0] for i in train]).astype(np.int64)
     share = np.concatenate([rows[i][1] for i in train]).astype(np.float64)
@@ -226,13 +258,15 @@ def fit(labels: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], steps: in
         w = w - up * root * mw / (np.sqrt(vw) + 1e-8)
         b = b - up * root * mb / (np.sqrt(vb) + 1e-8)
     model = Model((w * scale / norm).astype(np.float64), float(b), 1.0, 0.0)
-    use = np.flatnonzero(held) if held.any() else train
+    use = np.concatenate([np.flatnonzero(held & (labels == k)) if held[labels == k].any() else np.flatnonzero(labels == k) for k in (0, 1)])
     margin = np.array([model.bias + float(model.weights[rows[i][0]] @ rows[i][1]) for i in use])
-    return Model(model.weights, model.bias, *platt(margin, labels[use]))
+    share = [(totals or {}).get(k) or int((labels == k).sum()) for k in (0, 1)]
+    weight = np.array([share[int(k)] / (labels[use] == k).sum() for k in labels[use]])
+    return Model(model.weights, model.bias, *platt(margin, labels[use], weight / weight.mean()))
 
 
-def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the calibrating logistic, by Newton steps on smoothed targets."""
+def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the calibrating logistic, by weighted Newton steps on smoothed targets."""
     up, down = y.sum(), len(y) - y.sum()
     target = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2))
     spread = margin.std() + 1e-9
@@ -240,8 +274,8 @@ def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     theta = np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -500, 500)))
-        hessian = x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + 1e-6 * np.eye(2)
-        step = np.linalg.solve(hessian, x.T @ (p - target))
+        hessian = x.T @ (x * (weight * p * (1 - p) + 1e-9)[:, None]) + 1e-6 * np.eye(2)
+        step = np.linalg.solve(hessian, x.T @ (weight * (p - target)))
         theta = theta - step / max(1.0, np.abs(step).max())
         if np.abs(step).max() < 1e-9:
             break
@@ -250,7 +284,8 @@ def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE_PER_CLASS) -> Model | None:
     """The classifier of ``label``, from a bounded sample of labelled rows; None if a class is missing."""
-    return fit(*labelled_features(_sample(docs, labels, label, id_col, text_col, per_class, salt=3)))
+    sample, totals = _sample(docs, labels, label, id_col, text_col, per_class, salt=3)
+    return fit(*labelled_features(sample), totals)
 
 
 def judge(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, list[str]]:
