@@ -17,7 +17,6 @@ A tie goes to the language that sorts first.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,17 +30,18 @@ from corvane.llm.common import append_columns, col, fresh, held_out, learnable,
 
 DIMENSIONS = 1024
 SEED = 20
-#: Symbols: 0 for whatever isn't a letter, 1-26 for a-z, then accented Latin letters, then hashed places.
-SYMBOLS = 64
+#: Symbols: 0 for whatever isn't a letter, 1-26 for a-z, then accented Latin letters, then hashed places for all others.
+SYMBOLS, BITS = 512, 9
 _ACCENTED = "àâäáãåæçèéêëìíîïñòóôöõøùúûüýÿßœ"
 #: Texts that are bundled at a time.
 ROWS = 256
-_LETTER = re.compile(r"[^\W\d_]")
+#: Pairs of trigrams and counts that a task holds for a language before it adds them up.
+PENDING = 1 << 20
 
 
 def _symbols() -> np.ndarray:
     """Symbol of every code point of the basic plane; others are hashed as they come."""
-    table = np.zeros(0x10000, dtype=np.uint8)
+    table = np.zeros(0x10000, dtype=np.uint16)
     hashed = 27 + len(_ACCENTED)
     for point in range(0x10000):
         low = chr(point).lower()
@@ -65,7 +65,8 @@ def symbols(text: str) -> np.ndarray:
     if len(points) and points.max() >= 0x10000:
         wide = points >= 0x10000
         out = _TABLE[0][np.where(wide, 0, points)]
-        out[wide] = 27 + len(_ACCENTED) + points[wide] % (SYMBOLS - 27 - len(_ACCENTED))
+        letter = np.array([chr(x).isalpha() for x in points[wide].tolist()])
+        out[wide] = np.where(letter, 27 + len(_ACCENTED) + points[wide] % (SYMBOLS - 27 - len(_ACCENTED)), 0)
     else:
         out = _TABLE[0][points]
     out = np.concatenate([[0], out, [0]]).astype(np.int32)
@@ -75,7 +76,7 @@ def symbols(text: str) -> np.ndarray:
 def trigrams(text: str) -> np.ndarray:
     """Codes of a text's trigrams, in order."""
     s = symbols(text)
-    return s[:-2] << 12 | s[1:-1] << 6 | s[2:]
+    return s[:-2] << 2 * BITS | s[1:-1] << BITS | s[2:]
 
 
 def letter_vectors() -> np.ndarray:
@@ -85,7 +86,7 @@ def letter_vectors() -> np.ndarray:
 def gram_vectors(codes: np.ndarray, letters: np.ndarray) -> np.ndarray:
     """Bound vectors of trigrams: the first letter's permuted twice, the second's once."""
     twice, once = np.roll(letters, 2, axis=1), np.roll(letters, 1, axis=1)
-    return twice[codes >> 12] * once[codes >> 6 & 63] * letters[codes & 63]
+    return twice[codes >> 2 * BITS] * once[codes >> BITS & SYMBOLS - 1] * letters[codes & SYMBOLS - 1]
 
 
 def bundled(counts: list[tuple[np.ndarray, np.ndarray]], letters: np.ndarray) -> np.ndarray:
@@ -98,17 +99,23 @@ def bundled(counts: list[tuple[np.ndarray, np.ndarray]], letters: np.ndarray) ->
 
 
 def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
-    codes = trigrams(text)
-    if len(codes) > 4096:
-        n = np.bincount(codes, minlength=1 << 18)
-        at = np.flatnonzero(n)
-        return at, n[at]
-    return np.unique(codes, return_counts=True)
+    """A text's trigram codes, ascending, and how often each occurs."""
+    own = symbols(text)
+    used = np.flatnonzero(np.bincount(own, minlength=1))
+    if len(own) < 512 or len(used) > 100:
+        return np.unique(own[:-2] << 2 * BITS | own[1:-1] << BITS | own[2:], return_counts=True)
+    # A long text of few symbols is counted in a table of its own alphabet.
+    place = np.zeros(SYMBOLS, dtype=np.int32)
+    place[used] = np.arange(len(used))
+    own, k = place[own], len(used)
+    n = np.bincount((own[:-2] * k + own[1:-1]) * k + own[2:], minlength=1)
+    at = np.flatnonzero(n)
+    return used[at // (k * k)] << 2 * BITS | used[at // k % k] << BITS | used[at % k], n[at]
 
 
 def _text(raw: bytes | None) -> str | None:
     text = raw.decode() if raw else None
-    return text if text and _LETTER.search(text) else None
+    return text if text and any(map(str.isalpha, text)) else None
 
 
 def prototypes(docs: DataFrame, text_col: str, lang_col: str) -> tuple[list[str], np.ndarray]:
@@ -120,17 +127,27 @@ def prototypes(docs: DataFrame, text_col: str, lang_col: str) -> tuple[list[str]
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("code", T.IntegerType()), T.StructField("n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
-        total: dict[str, np.ndarray] = {}
+        total: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[str, int] = {}
+
+        def add(lang: str) -> None:
+            codes, of = np.unique(np.concatenate([c for c, _ in total[lang]]), return_inverse=True)
+            total[lang] = [(codes, np.bincount(of, weights=np.concatenate([n for _, n in total[lang]])).astype(np.int64))]
+            held[lang] = 0
+
         for whole in batches:
             for batch in small_slices(whole, 1):
                 for lang, raw in zip(batch.column(0).to_pylist(), texts(batch, 1)):
                     if (text := _text(raw)) is not None:
-                        into = total.setdefault(lang, np.zeros(1 << 18, dtype=np.int64))
-                        codes, n = counted(text)
-                        into[codes] += n
-        for lang, n in total.items():
-            at = np.flatnonzero(n)
-            yield [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at])]
+                        got = counted(text)
+                        total.setdefault(lang, []).append(got)
+                        held[lang] = held.get(lang, 0) + len(got[0])
+                        if held[lang] > PENDING:
+                            add(lang)
+        for lang in total:
+            add(lang)
+            codes, n = total[lang][0]
+            yield [pa.array([lang] * len(codes), pa.string()), pa.array(codes.astype(np.int32)), pa.array(n)]
 
     rows = map_rows(docs.select(col(lang_col).cast("string"), col(text_col)).where(col(lang_col).isNotNull()), run, schema)
     found = rows.groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
