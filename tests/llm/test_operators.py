@@ -364,24 +364,60 @@ def test_toxicity(spark, odd, empty, labels):
     assert toxicity.report(empty, labels).count() == 0
 
 
-def test_token_counts(spark, odd):
+def brute_documents(raw: bytes, dtype: str, end: int) -> list[tuple[int, int, bool]]:
+    """(ordinal, tokens, closed) of a flat file."""
+    ids = np.frombuffer(raw, dtype=dtype).tolist()
+    out, n = [], 0
+    for x in ids:
+        if x == end:
+            out.append((len(out), n, True))
+        n = 0 if x == end else n + 1
+    return out + [(len(out), n, False)] * (n > 0)
+
+
+@pytest.mark.parametrize("dtype, end", [("<u2", 9), ("<u2", 2570), ("<u4", 10 << 24), ("<u4", 255)])
+def test_token_scan(spark, tmp_path, dtype, end):
+    """Ranges are cut at line feeds anywhere in an id; the end id itself may hold some."""
     rng = random.Random(9)
-    lengths = {f: [rng.choice([0, 1, 5, 40]) for _ in range(60)] for f in ("a", "b")}
-    stream = {f: b"".join(np.array([1] * n + [9], dtype="<u2").tobytes() for n in v) for f, v in lengths.items()}
-    stream["a"] += np.array([1, 1, 1], dtype="<u2").tobytes()
-    for size in (2, 14, 64, 4096):
-        blocks = [(f, i, bytearray(raw[at : at + size])) for f, raw in stream.items() for i, at in enumerate(range(0, len(raw), size))]
-        got = token_count.documents(spark.createDataFrame(blocks, "file string, block long, bytes binary").repartition(3), end_id=9)
-        by = {(r["file"], r["ordinal"]): (r["n_tokens"], r["closed"]) for r in got.collect()}
-        wanted = {(f, i): (n, True) for f, v in lengths.items() for i, n in enumerate(v)} | {("a", 60): (3, False)}
-        assert by == wanted
-    assert token_count.report(odd).count() == len(ODD)
-
-
-def test_flat_files(spark, tmp_path):
-    (tmp_path / "t.bin").write_bytes(np.array([1, 2, 9, 9, 3], dtype="<u2").tobytes())
-    got = token_count.documents(token_count.flat_files(spark, str(tmp_path / "*.bin"), block_bytes=4), end_id=9).orderBy("ordinal").collect()
+    streams = {}
+    for k in range(6):
+        ids = [x for _ in range(rng.choice([0, 1, 60, 300])) for x in [*rng.choices([10, 2560, 2570, 266, 7, 65535], k=rng.choice([0, 1, 5, 40])), end]]
+        ids += rng.choices([10, 2570, 7], k=rng.randrange(4))
+        streams[f"f{k}.bin"] = np.array([x for x in ids], dtype=dtype).tobytes()
+        (tmp_path / f"f{k}.bin").write_bytes(streams[f"f{k}.bin"])
+    for size, block in ((2000, 7), (1 << 20, 4096)):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = token_count.documents(spark, str(tmp_path / "*.bin"), end, dtype, block).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        for name, raw in streams.items():
+            got = sorted((r["ordinal"], r["n_tokens"], r["closed"]) for r in rows if r["file"].endswith(name))
+            assert got == brute_documents(raw, dtype, end), (name, size)
+
+
+def test_token_scan_odd(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(np.array([1, 2, 9, 9, 3], dtype="<u2").tobytes() + b"\n")
+    (tmp_path / "b.bin").write_bytes(b"")
+    got = token_count.documents(spark, str(tmp_path / "*.bin"), end_id=9).orderBy("ordinal").collect()
     assert [(r["n_tokens"], r["closed"]) for r in got] == [(2, True), (0, True), (1, False)]
+    assert [(r["n_documents"], r["n_tokens"]) for r in token_count.totals(spark, str(tmp_path / "a.bin"), end_id=9).collect()] == [(2, 3)]
+    (tmp_path / "c.bin").write_bytes(b"\1\0\2")
+    with pytest.raises(Exception, match="whole ids"):
+        token_count.documents(spark, str(tmp_path / "c.bin"), end_id=9).collect()
+
+
+def test_token_counts(spark, odd, empty):
+    """The query's counts are the tokenizer's."""
+    rows = token_count.report(odd.repartition(3)).collect()
+    own = packing.Encoder(packing.vocabulary_path(), specials=False)
+    key = lambda x: (x[0] is None, x)
+    wanted = sorted(((i, len(own.whole((t or "").encode())) // 4) for i, t in ODD), key=key)
+    assert sorted(((r["doc_id"], r["n_tokens"]) for r in rows), key=key) == wanted
+    assert len({(r["file"], r["ordinal"]) for r in rows}) == len(ODD)
+    assert token_count.report(empty).count() == 0
+    clash = odd.select(F.col("doc_id").cast("string").alias("doc_id"), "text").withColumn("part", F.lit(1)).withColumn("kind", F.lit(2))
+    assert token_count.report(clash).where("doc_id = '8'").count() == 1
 
 
 def test_pipeline(spark, sf_dir):
