@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import decontaminate, line_dedup, packing, simhash, toxicity
-from corvane.llm.common import col, table, written
+from corvane.llm.common import col, discard, scratch, table, written
 from corvane.session import importable
 
 
@@ -62,13 +62,19 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: No SQL trains a classifier, hashes shingles or tokenises; the stages are tested against brute force.
+#: No SQL trains a classifier, hashes shingles or tokenises; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces that the whole pipeline makes of ``documents``."""
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        out = None
+        with scratch(lambda: out):  # a stage's own tables go once its result is written
+            out = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            discard(before)
+        docs = before = out
     return docs
