@@ -201,7 +201,7 @@ def join_skewed(left: DataFrame, right: DataFrame, key: str, right_key: str, cou
     limit = max(COLD_ROWS, total // HOT_KEYS)
     right = written(right, "keys")
     hot = right.where(F.col(count) > limit).drop(count)
-    if hot.isEmpty():
+    if not right.where(F.col(count) > limit).limit(1).count():
         return left.join(right.drop(count), F.col(key) == F.col(right_key))
     cold = right.where(F.col(count) <= limit).drop(count)
     near = left.join(F.broadcast(hot), F.col(key) == F.col(right_key))

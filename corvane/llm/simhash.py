@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import append_columns, col, discard, fresh, in_pairs, join_skewed, map_rows, scratch, small_slices, texts, written
+from corvane.llm.common import append_columns, col, discard, fresh, in_pairs, join_skewed, map_rows, small_slices, texts, written
 
 SHINGLE = 4
 RADIUS = 4
@@ -315,16 +315,16 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an edge list (a, b): root is the least node of its component.
 
     Alternating large-star and small-star steps; each is a minimum by node, which
-    is taken before the shuffle, and a join that leaves the edges of nodes with very
-    many where they are. Every round is written to the shared folder.
+    is taken before the shuffle, and a join that adaptive execution can split where
+    a node has very many edges. Every round is written to the shared folder.
     """
 
-    def star(e: DataFrame, large: bool, total: int) -> DataFrame:
+    def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         if not large:
             both = both.where("b < a")
-        least = both.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("edges")).select(F.col("a").alias("n"), F.least("a", "low").alias("low"), "edges")
-        joined = join_skewed(both, least, "a", "n", "edges", total)
+        least = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("n"), F.least("a", "low").alias("low"))
+        joined = both.join(least, F.col("a") == F.col("n"))
         if large:
             out = joined.where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         else:
@@ -337,10 +337,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = state(now)
     while seen[0]:
-        last = now
-        with scratch(lambda: now):
-            half = written(star(last, True, 2 * seen[0]), "edges")
-            now = written(star(half, False, 2 * seen[0]), "edges")
+        last, now = now, written(star(star(now, large=True), large=False), "edges")
         discard(last)
         if (after := state(now)) == seen:
             break
