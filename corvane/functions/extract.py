@@ -6,11 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corvane.functions import rules, tables
-from corvane.functions.text import dedupe_by
+from corvane.functions.text import dedupe_by, let
 
 
 def _joined(items: Column, limit: int) -> Column:
-    return F.when(F.size(items) > 0, F.array_join(F.slice(items, 1, limit), "; "))
+    return let(items, lambda x: F.when(F.size(x) > 0, F.array_join(F.slice(x, 1, limit), "; ")))
 
 
 def registry_number(text: Column) -> Column:
@@ -23,31 +23,39 @@ def year(line: Column) -> Column:
 
 def drugs(text: Column) -> Column:
     """Named treatments, then words with a drug's ending; the first five."""
-    named = dedupe_by(rules.found(text, tables.DRUGS), F.lower)
     ending = F.filter(rules.found(text, tables.DRUG_ENDINGS), lambda x: F.length(x) > 6)
-    return _joined(dedupe_by(F.concat(named, ending), F.lower), 5)
+    return _joined(dedupe_by(F.concat(rules.found(text, tables.DRUGS), ending), F.lower), 5)
 
 
 def indication(title: Column, body: Column) -> Column:
-    return rules.first_match(F.concat_ws(" ", title, F.substring(body, 1, 500)), tables.INDICATIONS, None)
+    return let(F.concat_ws(" ", title, F.substring(body, 1, 500)), lambda x: rules.first_match(x, tables.INDICATIONS, None))
 
 
 def objective(text: Column) -> Column:
-    effect, mechanism = rules.count(text, tables.EFFICACY), rules.count(text, tables.MECHANISM)
     names = tables.OBJECTIVES
-    return F.when((effect == 0) & (mechanism == 0), names["other"]).when(mechanism > effect, names["mechanism"]).otherwise(names["efficacy"])
+
+    def of(counts: Column) -> Column:
+        effect, mechanism = counts[0], counts[1]
+        return F.when((effect == 0) & (mechanism == 0), names["other"]).when(mechanism > effect, names["mechanism"]).otherwise(names["efficacy"])
+
+    return let(F.array(rules.count(text, tables.EFFICACY), rules.count(text, tables.MECHANISM)), of)
 
 
 def outcome(text: Column) -> Column:
-    good, bad, harm, safe = (rules.count(text, p) for p in (tables.POSITIVE, tables.NEGATIVE, tables.HARMFUL, tables.HARMLESS))
-    names, silent = tables.RESULTS, (good == 0) & (bad == 0)
-    return (
-        F.when(silent & (harm == 0) & (safe == 0), names["unknown"])
-        .when(silent & (harm > 0) & (safe == 0), names["toxic"])
-        .when(silent & (safe > 0) & (harm == 0), names["safe"])
-        .when(good > bad, names["effective"])
-        .otherwise(names["ineffective"])
-    )
+    names = tables.RESULTS
+
+    def of(counts: Column) -> Column:
+        good, bad, harm, safe = (counts[i] for i in range(4))
+        silent = (good == 0) & (bad == 0)
+        return (
+            F.when(silent & (harm == 0) & (safe == 0), names["unknown"])
+            .when(silent & (harm > 0) & (safe == 0), names["toxic"])
+            .when(silent & (safe > 0) & (harm == 0), names["safe"])
+            .when(good > bad, names["effective"])
+            .otherwise(names["ineffective"])
+        )
+
+    return let(F.array(*(rules.count(text, p) for p in (tables.POSITIVE, tables.NEGATIVE, tables.HARMFUL, tables.HARMLESS))), of)
 
 
 def dose(text: Column) -> Column:
@@ -102,12 +110,12 @@ def adverse_events(text: Column) -> Column:
     return F.coalesce(_joined(named, 8), sentence)
 
 
-def all_fields(text: Column) -> dict[str, Column]:
+def all_fields(text: Column, title: Column | None = None) -> dict[str, Column]:
     """Every extractor over one text."""
     return {
         "nct": registry_number(text),
         "drugs": drugs(text),
-        "indication": indication(F.lit(""), text),
+        "indication": indication(F.lit("") if title is None else title, text),
         "objective": objective(text),
         "outcome": outcome(text),
         "dose": dose(text),
@@ -120,3 +128,34 @@ def all_fields(text: Column) -> dict[str, Column]:
         "sample_size": sample_sizes(text),
         "toxicity": adverse_events(text),
     }
+
+
+# How much of a journal line, a title and the results the extraction table keeps.
+JOURNAL, TITLE, RESULTS = 80, 120, 300
+#: Columns of the extraction table, in order; lists of fixed length end where the table ends them.
+ROW = (
+    "index", "pmid", "year", "journal", "title", "doi", "is_structured", "nct", "objective", "drugs", "indication", "outcome", "dose", "followup", "os", "pfs",
+    "p_values", "ci", "or_rr_hr", "sample_size", "toxicity", "results_snippet",
+)
+
+
+def table_row(record: dict[str, Column]) -> list[Column]:
+    """A row of the extraction table, ``NaN`` for what is missing, from index, pmid, doi, journal, title, text, structured, results and methods.
+
+    The outcome rests on the results where there are any, the dose on the methods first.
+    """
+    text, title, results = record["text"], record["title"], record["results"]
+    said = F.coalesce(F.nullif(results, F.lit("")), text)
+    found = all_fields(text, title) | {
+        "outcome": outcome(said),
+        "dose": dose(F.concat_ws(" ", record["methods"], text)),
+        "index": record["index"],
+        "pmid": record["pmid"],
+        "doi": record["doi"],
+        "year": year(record["journal"]),
+        "journal": F.substring(record["journal"], 1, JOURNAL),
+        "title": F.substring(title, 1, TITLE),
+        "is_structured": record["structured"],
+        "results_snippet": F.substring(said, 1, RESULTS),
+    }
+    return [(found[n] if n in ("index", "is_structured") else F.coalesce(F.nullif(found[n], F.lit("")), F.lit("NaN"))).alias(n) for n in ROW]

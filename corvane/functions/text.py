@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,15 +21,24 @@ def plain_signs(c: Column) -> Column:
     return out
 
 
-def ordered_dedupe(items: Column) -> Column:
-    """Items cleaned, without empty ones, and without those equal to an earlier one but for case."""
-    cleaned = F.filter(F.transform(items, clean), lambda x: x != "")
-    return F.filter(cleaned, lambda x, i: ~F.exists(F.slice(cleaned, 1, F.greatest(i, F.lit(0))), lambda y: F.lower(y) == F.lower(x)))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def dedupe_by(items: Column, key) -> Column:
+def dedupe_by(items: Column, key: Callable[[Column], Column]) -> Column:
     """Items whose ``key`` differs from that of every earlier one, in order."""
-    return F.filter(items, lambda x, i: ~F.exists(F.slice(items, 1, F.greatest(i, F.lit(0))), lambda y: key(y) == key(x)))
+
+    def kept(pairs: Column) -> Column:
+        first = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, 1, i), lambda y: y["key"] == x["key"]))
+        return F.transform(first, lambda x: x["item"])
+
+    return let(F.transform(items, lambda x: F.struct(key(x).alias("key"), x.alias("item"))), kept)
+
+
+def ordered_dedupe(items: Column) -> Column:
+    """Items cleaned, without empty ones, and without those equal to an earlier one but for case."""
+    return dedupe_by(F.filter(F.transform(items, clean), lambda x: x != ""), F.lower)
 
 
 def clip(c: Column, limit: int) -> Column:

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.session import written
+
 SCHEMA = "record_id long, answer string, calls int"
 
 
@@ -89,10 +91,13 @@ def one_pass(texts: DataFrame, backend: Backend, size: int) -> DataFrame:
 
 
 def extract_in_passes(texts: DataFrame, backend: Backend, sizes: tuple[int, ...] = (10, 4, 1)) -> DataFrame:
-    """(record_id, pass, answer): each record's first answer; those without one have pass 0 and a note."""
+    """(record_id, pass, answer): each record's first answer; those without one have pass 0 and a note.
+
+    Every pass is written before the next one reads what is open, so no call is made twice.
+    """
     open_, parts = texts, []
     for i, size in enumerate(sizes, 1):
-        got = one_pass(open_, backend, size).select("record_id", F.lit(i).alias("pass"), "answer")
+        got = written(one_pass(open_, backend, size).select("record_id", F.lit(i).alias("pass"), "answer"), f"pass-{i}")
         parts.append(got)
         open_ = open_.join(got.select(F.col("record_id").alias("_done")), F.col("record_id") == F.col("_done"), "left_anti")
     out = open_.select("record_id", F.lit(0).alias("pass"), F.lit('{"note": "no answer"}').alias("answer"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corvane.functions import age, arms, extract, standard, tables, text
 from corvane.operators import records
 from corvane.plans.carrier import Carrier, Number, Pick, case, count, dedupe, first, found, hits, joined, quote
+from corvane.plans.golden import worked
 from corvane.registry import register
 
 ABSTRACT = Carrier(
@@ -179,45 +180,40 @@ def arm_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-AGES = Carrier(
-    Pick("o_orderkey", ["mean age ", "median ", "aged ", "", ">= ", "under ", "mean "]),
-    Number("o_custkey % 60 + 10"),
-    Pick("o_custkey", [" years", "-80", " +/- 9.5", "+", " months", " or older", " sd 7"]),
+worked(
+    "age_vector",
+    ("text",),
+    ("kind", "mean", "sd", "low", "high"),
+    lambda t: _age_cells(t),
+    [
+        ("18-65", "numeric_range", 0.0, 0.0, 18.0, 65.0),
+        ("mean age 45.2 +/- 10.1 years", "mean_sd", 45.2, 10.1, 0.0, 0.0),
+        ("mean 40, sd 7", "mean_sd", 40.0, 7.0, 0.0, 0.0),
+        ("Median 40", "median", 40.0, 0.0, 0.0, 0.0),
+        ("median 40, sd 6", "median", 40.0, 6.0, 0.0, 0.0),
+        ("median 40 (18-65)", "median", 40.0, 0.0, 18.0, 65.0),
+        ("average 33", "mean", 33.0, 0.0, 0.0, 0.0),
+        ("65+", "lower_bound", 0.0, 0.0, 65.0, 0.0),
+        (">= 60 years", "lower_bound", 0.0, 0.0, 60.0, 0.0),
+        ("60 or older", "lower_bound", 0.0, 0.0, 60.0, 0.0),
+        ("under 12", "upper_bound", 0.0, 0.0, 0.0, 12.0),
+        ("6-18 months", "numeric_range", 0.0, 0.0, 0.5, 1.5),
+        ("6 months", "single_value", 0.5, 0.0, 0.0, 0.0),
+        ("Older adults", "age_term", 0.0, 0.0, 60.0, 79.0),
+        ("Infants", "age_term", 0.0, 0.0, 0.1, 1.0),
+        ("Students", "age_term", 0.0, 0.0, 0.0, 0.0),
+        ("youth", "age_term", 0.0, 0.0, 0.0, 0.0),
+        ("middle-aged", "age_term", 0.0, 0.0, 45.0, 64.0),
+        ("people", "unknown", 0.0, 0.0, 0.0, 0.0),
+        (None, "", 0.0, 0.0, 0.0, 0.0),
+    ],
 )
-_N = r"(\d+(?:\.\d+)?)"
-
-
-def _num(pattern: str, group: int) -> str:
-    return f"cast({first('l', pattern, group, '')} AS DOUBLE) * f"
-
-
-_BOUND = rf"(?:>=|>\s*=?|at least|older than|or older|and older|years? or older|over)\s*{_N}|{_N}\s*(?:(?:years?|yrs?|months?|mos?|mo|weeks?|wks?|wk|days?)\s*)?(?:or older|and older|and above|years and over|years or more|and over|or above)"
-_UNDER = rf"(?:<=|<\s*=?|at most|younger than|or younger|and younger|under)\s*{_N}"
-_SIGNED, _SPELT = rf"{_N}\s*\+/-\s*{_N}", rf"\bmean\b[^0-9]{{0,12}}{_N}.*?\bsd\b[^0-9]{{0,12}}{_N}"
-_MEDIAN, _MEAN, _RANGE = rf"\bmedian\b[^0-9]{{0,12}}{_N}", rf"\b(?:mean|average|avg)\b[^0-9]{{0,12}}{_N}", rf"{_N}\s*-\s*{_N}"
-_KINDS = [(_SIGNED, "mean_sd"), (_SPELT, "mean_sd"), (_MEDIAN, "median"), (_MEAN, "mean"), (_RANGE, "numeric_range"), (rf"{_N}\s*\+", "lower_bound"), (_BOUND, "lower_bound"), (_UNDER, "upper_bound"), (r"^(?:age\s*)?\d+(?:\.\d+)?\s*(?:years?|months?)?$", "single_value")]
 
 
-@register(
-    "age_vector",
-    f"""
-WITH a AS (SELECT o_orderkey, lower(trim({AGES.sql()})) AS l FROM orders),
-b AS (SELECT *, case when regexp_matches(l, '\\bmonths?\\b') then 1 / 12.0 else 1.0 end AS f, {case('l', _KINDS, "'unknown'")} AS kind FROM a)
-SELECT o_orderkey, kind,
-  round(case when kind = 'mean_sd' then coalesce({_num(_SIGNED, 1)}, {_num(_SPELT, 1)}) when kind = 'median' then {_num(_MEDIAN, 1)} when kind = 'mean' then {_num(_MEAN, 1)}
-    when kind = 'single_value' then {_num(_N, 1)} else 0 end, 4) AS mean,
-  round(coalesce(case when kind = 'mean_sd' then coalesce({_num(_SIGNED, 2)}, {_num(_SPELT, 2)})
-    when kind = 'median' and not regexp_matches(l, {quote(_RANGE)}) then {_num(chr(92) + 'bsd' + chr(92) + 'b[^0-9]{0,12}' + _N, 1)} end, 0), 4) AS sd,
-  round(coalesce(case when kind in ('median', 'mean', 'numeric_range') then least({_num(_RANGE, 1)}, {_num(_RANGE, 2)})
-    when kind = 'lower_bound' then coalesce({_num(_N + '[ ]*[+]', 1)}, {_num(_BOUND, 1)}, {_num(_BOUND, 2)}) end, 0), 4) AS low,
-  round(coalesce(case when kind in ('median', 'mean', 'numeric_range') then greatest({_num(_RANGE, 1)}, {_num(_RANGE, 2)})
-    when kind = 'upper_bound' then {_num(_UNDER, 1)} end, 0), 4) AS high
-FROM b""",
-)
-def age_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", age.parse(AGES.column()).alias("p"))
-    v = age.vector(F.col("p"))
-    return orders.select("o_orderkey", F.col("p.kind").alias("kind"), *(F.round(v[i], 4).alias(n) for i, n in enumerate(("mean", "sd", "low", "high"))))
+def _age_cells(text):
+    parsed = age.parse(text)
+    v = age.vector(parsed)
+    return {"kind": parsed["kind"], **{n: v[i] for i, n in enumerate(("mean", "sd", "low", "high"))}}
 
 
 @register(

@@ -31,7 +31,13 @@ def table(df: DataFrame, path: str) -> None:
     df.write.csv(path, header=True, nullValue=MISSING, quoteAll=False)
 
 
+#: Ids that a manifest lists; a longer list belongs in a table.
+MANIFEST_IDS = 1_000_000
+
+
 def manifest(ids: DataFrame, key: str, source: str, **metadata) -> str:
-    """JSON document of the distinct ids of failed records, ascending; empty if there are none."""
-    kept = [r[0] for r in ids.select(key).distinct().orderBy(key).toLocalIterator()]
+    """JSON document of the distinct ids of failed records, ascending; empty if there are none. Too many of them raise an error."""
+    kept = [r[0] for r in ids.select(key).distinct().orderBy(key).limit(MANIFEST_IDS + 1).collect()]
+    if len(kept) > MANIFEST_IDS:
+        raise ValueError(f"more than {MANIFEST_IDS} ids: write them as a table")
     return json.dumps({"source_path": source, "record_ids": kept, "metadata": metadata}, sort_keys=True) if kept else ""
