@@ -164,12 +164,12 @@ def diseases(c: Column) -> Column:
 
 def fixed(c: Column, digits: int = 2) -> Column:
     """A number with so many decimals; empty for null."""
-    return F.coalesce(F.format_string(f"%.{digits}f", c.cast("double")), F.lit(""))
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits}f", c.cast("double"))).otherwise("")
 
 
 def short_number(c: Column) -> Column:
     """A number without zeros after its point; ``0`` for null."""
-    return F.coalesce(F.regexp_replace(F.regexp_replace(F.format_string("%.2f", c.cast("double")), r"0+$", ""), r"\.$", ""), F.lit("0"))
+    return F.when(c.isNotNull(), F.regexp_replace(F.regexp_replace(F.format_string("%.2f", c.cast("double")), r"0+$", ""), r"\.$", "")).otherwise("0")
 
 
 def vector_nonzero(c: Column) -> Column:

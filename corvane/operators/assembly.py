@@ -101,12 +101,11 @@ def raw_rows(pairs: DataFrame, traits: DataFrame) -> DataFrame:
 
 def ethnicity_codebook(rows: DataFrame) -> DataFrame:
     """(numeric_id, normalized_label, frequency, top6_code): labels by how many rows name them; there are as many as the rules have labels."""
-    named = rows.select(F.explode(F.transform(standard.ethnicity_shares(F.col("Ethnicity")), lambda x: x["label"])).alias("label"))
-    return codebook(named, "label").select(
+    return codebook(rows, F.transform(standard.ethnicity_shares(F.col("Ethnicity")), lambda x: x["label"])).select(
         F.col("id").alias("numeric_id"),
         F.col("label").alias("normalized_label"),
         F.col("frequency"),
-        F.when(F.col("id") <= len(SLOTS), F.substring(F.lit(SLOTS), F.col("id").cast("int"), F.lit(1))).otherwise("").alias("top6_code"),
+        F.col("code").alias("top6_code"),
     )
 
 
@@ -126,12 +125,10 @@ def ethnicity_vector(c: Column, top: list[str]) -> Column:
     from corvane.functions.text import let
 
     def of(shares: Column) -> Column:
-        slots = [
-            standard.fixed(F.aggregate(F.filter(shares, lambda x, label=label: x["label"] == label), F.lit(0.0), lambda a, x: a + x["share"]))
-            if label is not None
-            else F.lit("0.00")
-            for label in [*top, *[None] * (len(SLOTS) - len(top))]
-        ]
+        def slot(label: str) -> Column:
+            return standard.fixed(F.aggregate(F.filter(shares, lambda x: x["label"] == label), F.lit(0.0), lambda a, x: a + x["share"]))
+
+        slots = [*map(slot, top), *[F.lit("0.00")] * (len(SLOTS) - len(top))]
         return F.concat(F.lit("["), F.concat_ws(",", *slots), F.lit("]"))
 
     return let(standard.ethnicity_shares(c), of)

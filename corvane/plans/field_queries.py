@@ -122,7 +122,7 @@ worked(
     [
         ("Adults", "Adults", 1, False),
         ("Women with depression", "Women", 1, False),
-        ("120 patients aged 18-65 years", "aged 18-65 years", 1, False),
+        ("120 patients aged 18-65 years", "aged 18-65 years || 18-65 years", 1, True),
         ("Patients with MADRS >= 20; Nurses", "Nurses", 1, False),
         ("depression", "", 0, False),
         ("Veterans; 60% men and 40% women", "Veterans; || 60% men and 40% women", 2, False),
