@@ -115,7 +115,7 @@ _STANDARD = [
     (("30-40", "90 days", "first-episode", "45.2+/-10.1", "Male", "White", "Farmers", "veterans"), ("3040", "3.00", "first-episode", "[45.2,10.1,0,0,0]", "", "1.00", "[1.00,0.00,0.00,0.00,0.00,0.00]", "Farmers", "6")),
     (("", "12-month", "severe", "Infants", "", "Asian + White", "", "alcohol use, homeless"), ("", "", "3", "[0,0,0.1,1,0]", "error", "", "[0.50,0.00,0.50,0.00,0.00,0.00]", "", "[2,4]")),
     (("n=12", "1 year", "PHQ-9 >= 10", "6 months", "Male + Female", "80% White, Black", "untreated", ""), ("12", "12.00", "[3,2]", "[0.5,0,0,0,0]", "error", "", "[0.00,1.00,0.00,0.00,0.00,0.00]", "", "")),
-    (("7", "", "", "65+", "female", "Black", "teachers and nurses", "HIV-positive"), ("7", "", "", "[0,0,65,0,0]", "", "0.00", "[0.00,1.00,0.00,0.00,0.00,0.00]", "Nurse || Teacher", "3")),
+    (("7", "", "", "65+", "female", "White", "teachers and nurses", "HIV-positive"), ("7", "", "", "[0,0,65,0,0]", "", "0.00", "[1.00,0.00,0.00,0.00,0.00,0.00]", "Nurse || Teacher", "3")),
     (("", "", "", "", "", "", "", "with diabetes"), ("", "", "", "[0,0,0,0,0]", "", "", "[0.00,0.00,0.00,0.00,0.00,0.00]", "", "5")),
 ]
 _SHOWN = ("size", "months", "severity", "age", "age_error", "male", "ethnicity", "occupation", "status")
