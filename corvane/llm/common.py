@@ -8,6 +8,7 @@ current batch is held.
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import ctypes
 import uuid
 from collections.abc import Callable, Iterator
@@ -135,23 +136,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._corvane_path = path
-    for held in _SCOPES:
+    for held in _SCOPES.get():
         held.append(out)
     return out
 
 
-_SCOPES: list[list[DataFrame]] = []
+#: The tables of each open scope; a thread has its own, so that none deletes what another still reads.
+_SCOPES: contextvars.ContextVar[tuple[list[DataFrame], ...]] = contextvars.ContextVar("_SCOPES", default=())
 
 
 @contextlib.contextmanager
 def scratch(keep: Callable[[], DataFrame | None]) -> Iterator[None]:
     """Deletes, at its end, the tables that were ``written`` inside, but for the one that ``keep`` gives."""
     held: list[DataFrame] = []
-    _SCOPES.append(held)
+    before = _SCOPES.set((*_SCOPES.get(), held))
     try:
         yield
     finally:
-        _SCOPES.remove(held)
+        _SCOPES.reset(before)
         kept = keep()
         for df in held:
             if df is not kept:

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from corvane.llm import decontaminate, html_extract, langid, line_dedup, packing, quality, secrets, simhash, token_count, toxicity
+from corvane.llm import common, decontaminate, html_extract, langid, line_dedup, packing, quality, secrets, simhash, token_count, toxicity
 
 SCHEMA = "doc_id long, text string"
 #: Nulls, empty and blank texts, ties, repeated rows, a long text.
@@ -709,3 +711,50 @@ def test_pipeline(spark, sf_dir):
     for r in packed:
         lengths[r["doc_id"]] = lengths.get(r["doc_id"], 0) + r["length"]
     assert lengths == {i: len(own.whole((t or "").encode())) // 4 + 1 for i, t in texts(cut).items()}
+
+
+def shared(spark) -> set[str]:
+    return set(os.listdir(common.shared_dir(spark).removeprefix("file://")))
+
+
+def test_scratch(spark):
+    """Scopes that hold the same tables end each for itself, and leave alone what another thread writes."""
+    before, outer, inner = shared(spark), None, None
+    write = lambda name: common.written(spark.range(3), name)
+    with common.scratch(lambda: outer):
+        with common.scratch(lambda: inner):
+            write("a")
+            inner = write("b")
+        assert inner.count() == 3 and {x[0] for x in shared(spark) - before} == {"b"}
+        with ThreadPoolExecutor(1) as pool:
+            other = pool.submit(write, "c").result()
+        outer = write("d")
+    assert outer.count() == other.count() == 3 and {x[0] for x in shared(spark) - before} == {"c", "d"}
+    with pytest.raises(ZeroDivisionError), common.scratch(lambda: None):
+        write("e")
+        1 / 0
+    assert {x[0] for x in shared(spark) - before} == {"c", "d"}
+
+
+def test_pipeline_run(spark, tmp_path):
+    """The query is its stages one after another, on odd rows and without rows, and leaves its result alone in the shared folder."""
+    import corpus_pipeline
+
+    passage = " ".join(f"q{k}" for k in range(12))
+    own = [(20 + i, f"Shared line\n{' '.join(f'd{i}w{k}' for k in range(30))}\n{passage if i == 3 else 'tail'}") for i in range(12)]
+    kind = "doc_id long, text string, lang string, source string, n_chars int"
+    for rows in ([(i, t, "en", "web", len(t or "")) for i, t in [*ODD, *own, (40, own[0][1])]], []):
+        at = str(tmp_path / str(len(rows)))
+        spark.createDataFrame(rows, kind).repartition(3).write.parquet(f"{at}/documents.parquet")
+        spark.createDataFrame([(1, None, 1), (20, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+        spark.createDataFrame([("b", passage), ("n", None)], "item_id string, text string").write.parquet(f"{at}/benchmark.parquet")
+        stage = spark.read.parquet(f"{at}/documents.parquet")
+        for name, f in corpus_pipeline.STAGES:
+            stage = common.written(f(spark, stage, at), f"test-{name}")
+        before = shared(spark)
+        got = corpus_pipeline.run(spark, at)
+        assert [x.rsplit("-", 1)[0] for x in shared(spark) - before] == ["pipeline-packing"]
+        columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+        wanted, found = (sorted(map(tuple, x.select(columns).collect()), key=str) for x in (stage, got))
+        assert found == wanted and got.columns == [*columns, "sequence_id", "offset"]
+        assert {r[0] for r in found} == ({1, 4, None, 7, 8, *range(20, 32)} if rows else set())
