@@ -216,7 +216,8 @@ def in_pairs(rows: DataFrame, keys: list[str], by: str, limit: int) -> DataFrame
 
     A group of more than ``limit`` rows is cut into blocks by a hash of ``by``,
     and its rows go to every pair of blocks that has theirs, so that any two rows
-    of a group meet. Rows of other groups have i and j zero. Any two rows of a
+    of a group meet. Blocks count from 1; rows of other groups have i and j zero,
+    which tells that their group is whole. Any two rows of a
     group with equal ``by`` fall into one block.
     """
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
@@ -227,8 +228,8 @@ def in_pairs(rows: DataFrame, keys: list[str], by: str, limit: int) -> DataFrame
         sizes = F.broadcast(sizes)
     on = [F.col(k) == F.col(f"_{x}") for x, k in enumerate(keys)]
     large = rows.join(sizes, on)
-    own = F.pmod(F.xxhash64(by), F.col("_blocks")).cast("int")
-    paired = large.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    own = F.pmod(F.xxhash64(by), F.col("_blocks")).cast("int") + 1
+    paired = large.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(1), F.col("_blocks"))))
     paired = paired.withColumns({"i": F.least("_own", "_other"), "j": F.greatest("_own", "_other")}).select(*rows.columns, "i", "j")
     small = rows.join(sizes, on, "left_anti").withColumns({"i": F.lit(0), "j": F.lit(0)})
     return small.unionByName(paired)

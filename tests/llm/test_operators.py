@@ -758,3 +758,14 @@ def test_pipeline_run(spark, tmp_path):
         wanted, found = (sorted(map(tuple, x.select(columns).collect()), key=str) for x in (stage, got))
         assert found == wanted and got.columns == [*columns, "sequence_id", "offset"]
         assert {r[0] for r in found} == ({1, 4, None, 7, 8, *range(20, 32)} if rows else set())
+
+
+def test_simhash_blocks_of_group(spark, monkeypatch):
+    """The texts of a cut component's first block are no group of their own."""
+    rng = random.Random(15)
+    rows = []
+    for k in range(5):
+        base = [f"b{rng.randrange(10**6)}" for _ in range(60)]
+        rows += [(1000 * k + i, " ".join([*base, f"tail{i}"])) for i in range(30)]
+    monkeypatch.setattr(simhash, "GROUP", 7)
+    assert sorted(r["doc_id"] for r in simhash.dedup(spark.createDataFrame(rows, SCHEMA)).collect()) == [1000 * k for k in range(5)]
