@@ -17,7 +17,9 @@ as the tokenizer has it.
 
 from __future__ import annotations
 
+import json
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.llm.common import col, map_rows, small_slices, texts, written
+from corvane.llm.common import SLICE_BYTES, col, map_rows, small_slices, texts, written
 
 SEQUENCE = 2048
 END_ID = 0
@@ -42,19 +44,33 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def _buffers(array: pa.Array) -> tuple[np.ndarray, bytes]:
+    """Offsets and bytes of an array of large binaries that is no slice of another."""
+    _, offsets, raw = array.buffers()
+    return np.frombuffer(offsets, dtype=np.int64, count=len(array) + 1), raw.to_pybytes() if raw else b""
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit bytes.
 
     This tokenizer lower-cases, drops white space and never joins what it
     separates, so the ids of a text are those of its chunks, one after another.
     Chunks end at ASCII white space and before punctuation that ends a word; their
-    ids are remembered, and those not yet known are encoded together.
+    ids are remembered, and those not yet known are encoded together. A batch's
+    chunks are cut and counted as arrays, and each different one is looked up once.
     ``specials``: whether the special tokens' strings in a text become their ids,
     or are text like any other. Texts that may hold one are encoded whole.
     """
 
-    #: Punctuation between an ASCII letter or digit and white space: a run of its own in this tokenizer, too.
-    _END = re.compile(rb"(?<=[a-z0-9])[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+(?=[ \t\n\r\x0b\x0c]|\Z)")
+    #: White space, ASCII letters and digits, other ASCII punctuation, and the rest, by byte.
+    _SPACE, _WORD, _MARK, _REST = range(4)
+    _KIND = np.full(256, _REST, dtype=np.uint8)
+    _KIND[list(b" \t\n\r\x0b\x0c")] = _SPACE
+    _KIND[list(string.punctuation.encode())] = _MARK
+    _KIND[list(string.digits.encode() + string.ascii_lowercase.encode())] = _WORD
+    #: Letters that neither compose nor turn into anything but one letter each: a chunk of them is one word.
+    _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")  # U+00C0 to U+00FF without the two signs
+    _GAP = re.compile(rb"[ \t\n\r\x0b\x0c]")
     #: Chunks that are encoded at a time, and bytes of one that is remembered.
     GROUP, LONG = 100, 64
 
@@ -66,6 +82,15 @@ class Encoder:
 
         self.tokenizer, self.size = Tokenizer.from_file(path), size
         self.tokenizer.encode_special_tokens = not specials
+        # The same merges for words of such letters, which need neither its normalizer nor its pattern.
+        layout = json.loads(self.tokenizer.to_str())
+        layout["normalizer"], layout["added_tokens"] = None, []
+        layout["pre_tokenizer"]["pretokenizers"][0] = {"type": "WhitespaceSplit"}
+        self.merges = Tokenizer.from_str(json.dumps(layout))
+        vocabulary = self.merges.get_vocab()
+        #: Whether an id ends a word.
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
         #: Remembered chunks, and those remembered before ``known`` was last full: what is still in use moves over.
         self.known: dict[bytes, bytes] = {}
         self.before: dict[bytes, bytes] = {}
@@ -74,36 +99,91 @@ class Encoder:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, chunks: list[bytes]) -> None:
-        for at in range(0, len(chunks), self.GROUP):
-            group = chunks[at : at + self.GROUP]
+        words = list(filter(self._LETTERS.fullmatch, chunks))
+        others = list(set(chunks).difference(words))
+        for at in range(0, len(words), self.GROUP):
+            group = words[at : at + self.GROUP]
+            (got,) = self.merges.encode_batch_fast([b" ".join(group).decode().lower()], add_special_tokens=False)
+            ids = np.array(got.ids, dtype="<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(group):
+                raise ValueError("a chunk of letters is not one word of the tokenizer")
+            self._remember(group, ids, ends)
+        for at in range(0, len(others), self.GROUP):
+            group = others[at : at + self.GROUP]
             parts = [x.decode() for x in group]
             got = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
-            raw = np.array(got.ids, dtype="<u4").tobytes()
             starts = np.cumsum([0, *(len(x) + 1 for x in parts[:-1])])
             of = np.searchsorted(starts, np.array([x for x, _ in got.offsets], dtype=np.int64), side="right") - 1
-            ends = 4 * np.cumsum(np.bincount(of, minlength=len(group)))
-            start = 0
-            for x, end in zip(group, ends.tolist()):
-                self.known[x] = raw[start:end]
-                start = end
-
-    def encode(self, batch: list[bytes | None]) -> list[bytes]:
-        split: list[list[bytes] | None] = []
-        for raw in batch:
-            low = raw.lower() if raw else b""  # ASCII letters alone; the tokenizer sees to the others
-            split.append(None if b"<|" in low else self._END.sub(rb" \g<0>", low).split())
-        needed = set().union(*(x for x in split if x))
-        missing = needed - self.known.keys()
+            self._remember(group, np.array(got.ids, dtype="<u4"), np.cumsum(np.bincount(of, minlength=len(group))))
+
+    def _remember(self, group: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        raw, start = ids.tobytes(), 0
+        for x, end in zip(group, (4 * ends).tolist()):
+            self.known[x] = raw[start:end]
+            start = end
+
+    def _chunks(self, batch: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        """The chunks of lower-cased texts, and where each text's begin among them, and end."""
+        buf = np.frombuffer(b"\n".join([b"", *batch, b""]), dtype=np.uint8)
+        kind = self._KIND[buf]
+        solid = kind != self._SPACE
+        first, last = solid[1:] & ~solid[:-1], solid[:-1] & ~solid[1:]
+        # Punctuation between an ASCII letter or digit and white space: a run of its own in this tokenizer, too.
+        marks = np.flatnonzero(kind == self._MARK)
+        if len(marks):
+            apart = np.diff(marks) > 1
+            runs, stops = marks[np.r_[True, apart]], marks[np.r_[apart, True]] + 1
+            cuts = runs[(kind[runs - 1] == self._WORD) & (kind[stops] == self._SPACE)] - 1
+            first[cuts] = last[cuts] = True
+        starts, stops = np.flatnonzero(first) + 1, np.flatnonzero(last) + 1
+        offsets = np.zeros(len(starts) + 1, dtype=np.int64)
+        np.cumsum(stops - starts, out=offsets[1:])
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(buf[solid])])
+        bounds = np.cumsum([0, *(len(x) + 1 for x in batch)])
+        return chunks, np.searchsorted(starts, bounds)
+
+    def _ids(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of different chunks."""
+        missing = [x for x, ids in zip(chunks, map(self.known.get, chunks)) if ids is None]
         if len(self.known) + len(missing) > self.size // 2:
-            self.known, self.before, missing = {}, self.known, needed
-        self.known.update((x, self.before[x]) for x in missing & self.before.keys())
-        self._learn(sorted(missing - self.known.keys()))
-        out = [self.whole(raw) if x is None else b"".join(map(self.known.__getitem__, x)) for raw, x in zip(batch, split)]
+            self.known, self.before, missing = {}, self.known, chunks
+        self.known.update((x, ids) for x, ids in zip(missing, map(self.before.get, missing)) if ids is not None)
+        self._learn([x for x in missing if x not in self.known])
+        out = list(map(self.known.__getitem__, chunks))
         for x in missing:
             if len(x) > self.LONG:
                 del self.known[x]
         return out
 
+    def _parts(self, text: bytes) -> list[bytes]:
+        """A text in parts of about SLICE_BYTES that end before white space."""
+        out = []
+        while len(text) > 2 * SLICE_BYTES and (gap := self._GAP.search(text, SLICE_BYTES)):
+            out.append(text[: gap.start()])
+            text = text[gap.start() :]
+        return [*out, text]
+
+    def encode(self, batch: list[bytes | None]) -> list[bytes]:
+        lows = [raw.lower() if raw else b"" for raw in batch]  # ASCII letters alone; the tokenizer sees to the others
+        special = {i for i, low in enumerate(lows) if b"<|" in low}
+        plain = [b"" if i in special else low for i, low in enumerate(lows)]
+        if len(plain) == 1 and len(parts := self._parts(plain[0])) > 1:
+            return [b"".join(self.encode([x])[0] for x in parts)]
+        chunks, bounds = self._chunks(plain)
+        if not len(chunks):
+            out = [b""] * len(batch)
+        else:
+            coded = chunks.dictionary_encode()
+            offsets, raw = _buffers(coded.dictionary)
+            different = [raw[s:e] for s, e in zip(offsets.tolist(), offsets[1:].tolist())]
+            offsets, raw = _buffers(pa.array(self._ids(different), pa.large_binary()).take(coded.indices))
+            at = offsets[bounds].tolist()
+            out = [raw[s:e] for s, e in zip(at, at[1:])]
+        for i in special:
+            out[i] = self.whole(batch[i])
+        return out
+
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 

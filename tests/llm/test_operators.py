@@ -146,6 +146,37 @@ def test_encoder():
     assert own.encode([*texts, None]) == [*(own.whole(x) for x in texts), b""]
 
 
+def test_encoder_words():
+    """Words of plain letters don't pass the tokenizer's normalizer and pattern, and have the ids that it gives."""
+    own, rng, asked = packing.Encoder(packing.vocabulary_path()), random.Random(5), []
+    letters = [chr(x) for x in (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)) if chr(x).isalpha()]
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 12))) for _ in range(4000)]
+    text = "".join(w + rng.choice([" ", "\n", "\t ", "  "]) for w in words).encode()
+    tokenizer = own.tokenizer
+
+    class Counted:
+        def encode(self, text, **options):
+            asked.append(text)
+            return tokenizer.encode(text, **options)
+
+    own.tokenizer = Counted()
+    got = own.encode([text, None, text[:60].decode(errors="ignore").encode() + b"-- end.", b" \n"])
+    assert len(asked) == 1 and set(asked[0].split()) == {"--", "."}
+    own.tokenizer = tokenizer
+    assert got == [own.whole(text), b"", own.whole(text[:60].decode(errors="ignore").encode() + b"-- end."), b""]
+
+
+def test_encoder_long(monkeypatch):
+    """A long text goes in parts, and little memory of chunks changes no ids."""
+    monkeypatch.setattr(packing, "SLICE_BYTES", 50)
+    own, rng = packing.Encoder(packing.vocabulary_path(), size=20), random.Random(6)
+    for gaps in (" \n\t\r\x0b\x0c", "\u3000\x1c", "."):
+        parts = list("abÉ中σ.,'-#9") + list(gaps)
+        for _ in range(20):
+            text = "".join(rng.choices(parts, k=700)).encode()
+            assert own.encode([text]) == [own.whole(text)]
+
+
 def test_packing(spark, odd, empty):
     rows = packing.pack(odd, with_ids=True).collect()
     by = {}
