@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import reduce
+from heapq import nsmallest
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ BUCKETS = 1 << 24
 STEM = 5
 STEPS = 400
 #: A feature needs so many different toxic sentences, copies counted once, and to be so many times as frequent in toxic texts as in clean ones.
+#: Instead of different sentences there may be as many different texts around them, if half of its toxic texts differ: copies and near-copies hardly do.
 MIN_SENTENCES, MIN_RATIO = 3, 6
 #: Sentences without effect that every feature is taken to have been in, beside those that it was in.
 PRIOR = 0.3
@@ -127,6 +129,8 @@ _COUNTS = T.StructType(
         #: Sentences of the text that have the feature, and the least hash of one.
         T.StructField("n", T.IntegerType(), False),
         T.StructField("least", T.LongType(), False),
+        #: The least hash of a sentence of the text other than that one; -1 if there is none.
+        T.StructField("around", T.LongType(), False),
     ]
 )
 
@@ -138,12 +142,14 @@ def _counts(sample: DataFrame) -> DataFrame:
         known: dict[bytes, tuple[int, int]] = {}
         for whole in batches:
             for batch in small_slices(whole, 3):
-                of, at, n, least = [], [], [], []
+                of, at, n, least, around = [], [], [], [], []
                 for k, text in enumerate(texts(batch, 3)):
                     found: dict[int, list[int]] = {}
+                    digests = {-1}
                     for ws in sentences(text):
                         own = set(ws)
                         digest = xxhash.xxh3_64_intdigest(b" ".join(sorted(own))) >> 1
+                        digests.add(digest)
                         if len(known) > 200_000:
                             known.clear()
                         for x in {x for w in own for x in (known.get(w) or known.setdefault(w, buckets(w)))}:
@@ -154,8 +160,10 @@ def _counts(sample: DataFrame) -> DataFrame:
                     at += found
                     n += [x[0] for x in found.values()]
                     least += [x[1] for x in found.values()]
+                    first, second = (nsmallest(3, digests)[1:] + [-1, -1])[:2]
+                    around += [second if x[1] == first else first for x in found.values()]
                 take = pa.array(of, pa.int64())
-                yield [*(batch.column(i).take(take) for i in range(3)), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(least, pa.int64())]
+                yield [*(batch.column(i).take(take) for i in range(3)), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(least, pa.int64()), pa.array(around, pa.int64())]
 
     return map_rows(sample, run, _COUNTS)
 
@@ -203,12 +211,13 @@ def train(
         discard(counts)
         return None
     stats = counts.groupBy("feature").agg(
-        F.countDistinct(F.when(F.col("label") == 1, F.col("least"))).alias("sentences"),
+        *(F.countDistinct(F.when(F.col("label") == 1, F.col(x))).alias(name) for x, name in (("least", "sentences"), ("around", "texts"))),
         *(F.sum(F.when(F.col("label") == k, 1).otherwise(0)).alias(f"in_{k}") for k in (0, 1)),
     )
     speaks = (F.col("in_1") / F.lit(rows[1])) >= MIN_RATIO * (F.col("in_0") + 0.5) / F.lit(rows[0])
     # BUCKETS rows at most.
-    chosen = stats.where(F.col("sentences") >= MIN_SENTENCES).where(speaks).select(F.col("feature").alias("chosen"))
+    various = (F.col("sentences") >= MIN_SENTENCES) | (F.col("texts") >= F.greatest(F.lit(MIN_SENTENCES), F.col("in_1") / 2))
+    chosen = stats.where(various).where(speaks).select(F.col("feature").alias("chosen"))
     got = counts.join(F.broadcast(chosen), F.col("feature") == F.col("chosen"), "left_semi").orderBy("id", "row", "feature").select("row", "label", "feature", "n").toArrow()
     discard(counts)
     _, first, text_of = np.unique(got["row"].to_numpy(), return_index=True, return_inverse=True)

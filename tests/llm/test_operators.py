@@ -591,6 +591,20 @@ def test_toxicity(spark, odd, empty, labels):
     assert toxicity.report(empty, labels).count() == 0
 
 
+def test_toxicity_repeated(spark):
+    """A sentence that is toxic in different texts is learnt; what only copies and near-copies of one text hold is not."""
+    rng = random.Random(9)
+    neutral = lambda: ". ".join(" ".join(f"w{rng.randrange(300)}" for _ in range(8)) for _ in range(5))
+    one = neutral() + ". rare unique zebra. you nasty brute. "
+    toxic = [neutral() + ". you nasty brute" for _ in range(60)] + [one] * 15 + [one + f"{i}" for i in range(15)]
+    texts = toxic + [neutral() for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    marks = spark.createDataFrame([(i, int(i < len(toxic))) for i in range(len(texts))], "doc_id long, toxic int")
+    model = toxicity.train(docs, marks)
+    assert model.score(b"you nasty brute") >= toxicity.THRESHOLD
+    assert model.score(b"rare unique zebra") == 0.0
+
+
 def test_toxicity_long_texts(spark, sf_dir):
     """Neutral text of any length scores zero; held-out recall is what the README says at least."""
     from corvane.llm.common import held_out
