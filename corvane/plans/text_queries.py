@@ -210,10 +210,12 @@ worked(
 )
 
 
-def _age_cells(text):
-    parsed = age.parse(text)
-    v = age.vector(parsed)
-    return {"kind": parsed["kind"], **{n: v[i] for i, n in enumerate(("mean", "sd", "low", "high"))}}
+def _age_cells(stated):
+    def cells(parsed):
+        v = age.vector(parsed)
+        return F.struct(parsed["kind"].alias("kind"), *(v[i].alias(n) for i, n in enumerate(("mean", "sd", "low", "high"))))
+
+    return text.let(age.parse(stated), cells)
 
 
 @register(

@@ -30,3 +30,9 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_age_is_read_once(spark, sf_dir):
+    """The plan of age_vector holds the reading of an age once, however many cells name it."""
+    plan = QUERIES["age_vector"](spark, sf_dir)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("range_to_uniform_interval") == 1
