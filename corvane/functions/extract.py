@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from corvane.functions import rules, tables
 from corvane.functions.text import dedupe_by, let
 
+# Where a match may begin: conditions that every match of the table's pattern meets, so that the long search is made there alone.
+_NUMBER = r"(?<!\d)(?=\d++(?:\.\d*+)?+\s*+[gimnu])"
+_SPAN = r"(?<!\d)(?=\d++[- ]?+(?:week|month|year))"
+_ENDING = r"\b(?=[a-z]{8,}+(?<=" + "|".join(sorted({x[-3:] for x in tables.DRUG_ENDINGS.partition("(?:")[2].partition(")")[0].split("|")})) + r")\b)"
+_SENTENCE = r"(?<![^.])(?=[^.]*+\.)"
+
+_DOSE, _ENDINGS = rules.at(_NUMBER, tables.DOSE), rules.at(_ENDING, tables.DRUG_ENDINGS)
+_FOLLOW_UPS = [rules.at(_SPAN, p) if p.startswith(r"(\d+)") else p for p in tables.FOLLOW_UPS]
+_SAMPLES = [rules.at(r"(?=n\s*+=)", p) if p.startswith("(?:[nN]") else rules.quick(p) for p in tables.SAMPLES]
+
 
 def _joined(items: Column, limit: int) -> Column:
     return let(items, lambda x: F.when(F.size(x) > 0, F.array_join(F.slice(x, 1, limit), "; ")))
@@ -21,27 +31,28 @@ def year(line: Column) -> Column:
     return rules.first(line, r"\b(?:19|20)\d{2}\b", flags="")
 
 
-def drugs(text: Column) -> Column:
+def drugs(text: Column, words: Column | None = None) -> Column:
     """Named treatments, then words with a drug's ending; the first five."""
-    ending = F.filter(rules.found(text, tables.DRUG_ENDINGS), lambda x: F.length(x) > 6)
-    return _joined(dedupe_by(F.concat(rules.found(text, tables.DRUGS), ending), F.lower), 5)
+    ending = F.filter(rules.found(text, _ENDINGS), lambda x: F.length(x) > 6)
+    return _joined(dedupe_by(F.concat(rules.found(text, tables.DRUGS, words=words), ending), F.lower), 5)
 
 
 def indication(title: Column, body: Column) -> Column:
-    return let(F.concat_ws(" ", title, F.substring(body, 1, 500)), lambda x: rules.first_match(x, tables.INDICATIONS, None))
+    searched = F.concat_ws(" ", title, F.substring(body, 1, 500))
+    return let(searched, lambda x: let(F.lower(x), lambda low: rules.first_match(x, tables.INDICATIONS, None, low)))
 
 
-def objective(text: Column) -> Column:
+def objective(text: Column, words: Column | None = None) -> Column:
     names = tables.OBJECTIVES
 
     def of(counts: Column) -> Column:
         effect, mechanism = counts[0], counts[1]
         return F.when((effect == 0) & (mechanism == 0), names["other"]).when(mechanism > effect, names["mechanism"]).otherwise(names["efficacy"])
 
-    return let(F.array(rules.count(text, tables.EFFICACY), rules.count(text, tables.MECHANISM)), of)
+    return let(F.array(*(rules.count(text, p, words) for p in (tables.EFFICACY, tables.MECHANISM))), of)
 
 
-def outcome(text: Column) -> Column:
+def outcome(text: Column, words: Column | None = None) -> Column:
     names = tables.RESULTS
 
     def of(counts: Column) -> Column:
@@ -55,23 +66,21 @@ def outcome(text: Column) -> Column:
             .otherwise(names["ineffective"])
         )
 
-    return let(F.array(*(rules.count(text, p) for p in (tables.POSITIVE, tables.NEGATIVE, tables.HARMFUL, tables.HARMLESS))), of)
+    return let(F.array(*(rules.count(text, p, words) for p in (tables.POSITIVE, tables.NEGATIVE, tables.HARMFUL, tables.HARMLESS))), of)
 
 
 def dose(text: Column) -> Column:
     """Number and unit, the first four that differ."""
-    whole, amount, unit = (rules.found(text, tables.DOSE, g) for g in (0, 1, 2))
-    parts = F.arrays_zip(whole.alias("whole"), amount.alias("amount"), unit.alias("unit"))
-    kept = dedupe_by(parts, lambda x: F.struct(x["amount"], F.lower(x["unit"])))
-    return _joined(F.transform(kept, lambda x: F.trim(x["whole"])), 4)
+    kept = dedupe_by(rules.found(text, _DOSE), lambda x: F.regexp_replace(F.lower(x), r"\s+", ""))
+    return _joined(F.transform(kept, lambda x: F.trim(x)), 4)
 
 
 def follow_up(text: Column) -> Column:
-    found = []
-    for pattern in tables.FOLLOW_UPS:
-        n, unit = rules.first(text, pattern, 1), F.lower(rules.first(text, pattern, 2))
-        found.append(F.concat(n, F.lit(" "), unit, F.when(n.cast("decimal(38,0)") > 1, "s").otherwise("")))
-    return F.coalesce(*found)
+    def of(span: Column) -> Column:
+        n, unit = rules.first(span, r"\d+"), F.lower(rules.first(span, "week|month|year"))
+        return F.concat(n, F.lit(" "), unit, F.when(n.cast("decimal(38,0)") > 1, "s").otherwise(""))
+
+    return let(F.coalesce(*(rules.first(text, p) for p in _FOLLOW_UPS)), of)
 
 
 def survival(text: Column) -> Column:
@@ -93,31 +102,31 @@ def intervals(text: Column) -> Column:
 
 
 def ratios(text: Column) -> Column:
-    return _joined(F.transform(rules.found(text, tables.RATIO), lambda x: F.trim(x)), 4)
+    return _joined(F.transform(rules.found(text, rules.quick(tables.RATIO)), lambda x: F.trim(x)), 4)
 
 
 def sample_sizes(text: Column) -> Column:
     """Distinct counts from 5 to 99999, ascending, the first five."""
-    counts = F.transform(F.concat(*(rules.found(text, p, 1) for p in tables.SAMPLES)), lambda x: x.cast("int"))
+    counts = F.transform(F.concat(*(rules.found(text, p, 1) for p in _SAMPLES)), lambda x: x.cast("int"))
     fit = F.array_sort(F.array_distinct(F.filter(counts, lambda x: (x >= 5) & (x <= 99999))))
     return _joined(F.transform(fit, lambda x: x.cast("string")), 5)
 
 
-def adverse_events(text: Column) -> Column:
+def adverse_events(text: Column, words: Column | None = None) -> Column:
     """Named events, the first eight; else a sentence that speaks of some."""
-    named = dedupe_by(rules.found(text, tables.EVENTS), lambda x: F.lower(F.trim(x)))
-    sentence = F.substring(F.trim(rules.first(text, tables.EVENT_SENTENCE)), 1, 150)
+    named = dedupe_by(rules.found(text, tables.EVENTS, words=words), lambda x: F.lower(F.trim(x)))
+    sentence = F.substring(F.trim(rules.first(text, rules.at(_SENTENCE, tables.EVENT_SENTENCE))), 1, 150)
     return F.coalesce(_joined(named, 8), sentence)
 
 
-def all_fields(text: Column, title: Column | None = None) -> dict[str, Column]:
-    """Every extractor over one text."""
+def all_fields(text: Column, title: Column | None = None, words: Column | None = None) -> dict[str, Column]:
+    """Every extractor over one text; a column of its ``rules.beginnings`` saves most of the search."""
     return {
         "nct": registry_number(text),
-        "drugs": drugs(text),
+        "drugs": drugs(text, words),
         "indication": indication(F.lit("") if title is None else title, text),
-        "objective": objective(text),
-        "outcome": outcome(text),
+        "objective": objective(text, words),
+        "outcome": outcome(text, words),
         "dose": dose(text),
         "followup": follow_up(text),
         "os": survival(text),
@@ -126,7 +135,7 @@ def all_fields(text: Column, title: Column | None = None) -> dict[str, Column]:
         "ci": intervals(text),
         "or_rr_hr": ratios(text),
         "sample_size": sample_sizes(text),
-        "toxicity": adverse_events(text),
+        "toxicity": adverse_events(text, words),
     }
 
 

@@ -30,10 +30,14 @@ def dedupe_by(items: Column, key: Callable[[Column], Column]) -> Column:
     """Items whose ``key`` differs from that of every earlier one, in order."""
 
     def kept(pairs: Column) -> Column:
-        first = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, 1, i), lambda y: y["key"] == x["key"]))
+        first = let(pairs["key"], lambda keys: F.filter(pairs, lambda x, i: F.array_position(keys, x["key"]) == i + 1))
         return F.transform(first, lambda x: x["item"])
 
-    return let(F.transform(items, lambda x: F.struct(key(x).alias("key"), x.alias("item"))), kept)
+    def of(found: Column) -> Column:
+        pairs = F.transform(found, lambda x: F.struct(key(x).alias("key"), x.alias("item")))
+        return F.when(F.size(found) < 2, found).otherwise(let(pairs, kept))
+
+    return let(items, of)
 
 
 def ordered_dedupe(items: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.functions import age, arms, extract, standard, tables, text
+from corvane.functions import age, arms, extract, rules, standard, tables, text
 from corvane.operators import records
 from corvane.plans.carrier import Carrier, Number, Pick, case, count, dedupe, first, found, hits, joined, quote
 from corvane.plans.golden import worked
@@ -43,6 +43,9 @@ ABSTRACT = Carrier(
     Pick("o_orderkey + 1", ["Nausea, insomnia and NAUSEA were seen.", "Side effects were mild.", "Remission was frequent."]),
 )
 
+#: Tasks for each core where keys are dealt out before long work on their texts.
+TASKS = 4
+
 _T = "t"
 _NAMED = dedupe(found(_T, tables.DRUGS))
 _ENDINGS = f"list_filter({found(_T, tables.DRUG_ENDINGS)}, lambda x: len(x) > 6)"
@@ -81,9 +84,11 @@ SELECT o_orderkey, 'NCT' || {first(_T, 'NCT[ ]*([0-9]{6,8})', 1, '')} AS nct,
 FROM b""",
 )
 def extract_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    texts = orders.select("o_orderkey", ABSTRACT.column().alias("t"))
-    return texts.select("o_orderkey", *(c.alias(name) for name, c in extract.all_fields(F.col("t")).items()))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
+    # A file's row groups may be fewer than the cores, and a text takes far longer than the shuffle of its keys.
+    texts = orders.repartition(TASKS * spark.sparkContext.defaultParallelism).select("o_orderkey", ABSTRACT.column().alias("t")).withColumn("words", rules.beginnings(F.col("t")))
+    fields = extract.all_fields(F.col("t"), words=F.col("words"))
+    return texts.select("o_orderkey", *(c.alias(name) for name, c in fields.items()))
 
 
 FIELDS = {
