@@ -9,9 +9,9 @@ from corvane.functions import rules, tables
 from corvane.functions.text import dedupe_by, let
 
 # Where a match may begin: conditions that every match of the table's pattern meets, so that the long search is made there alone.
-_NUMBER = r"(?<!\d)(?=\d++(?:\.\d*+)?+\s*+[gimnu])"
-_SPAN = r"(?<!\d)(?=\d++[- ]?+(?:week|month|year))"
-_ENDING = r"\b(?=[a-z]{8,}+(?<=" + "|".join(sorted({x[-3:] for x in tables.DRUG_ENDINGS.partition("(?:")[2].partition(")")[0].split("|")})) + r")\b)"
+_NUMBER = r"(?=\d)(?<!\d)(?=\d++(?:\.\d*+)?+\s*+[gimnu])"
+_SPAN = r"(?=\d)(?<!\d)(?=\d++[- ]?+(?:week|month|year))"
+_ENDING = r"\b(?=[a-z]{8})(?=[a-z]{8,}+(?<=" + "|".join(sorted({x[-3:] for x in tables.DRUG_ENDINGS.partition("(?:")[2].partition(")")[0].split("|")})) + r")\b)"
 _SENTENCE = r"(?<![^.])(?=[^.]*+\.)"
 
 _DOSE, _ENDINGS = rules.at(_NUMBER, tables.DOSE), rules.at(_ENDING, tables.DRUG_ENDINGS)
